@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import quality_rules, url_filters
+from . import packing, quality_rules, token_store, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op4_token_store": token_store.op4_token_store,
+    "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
 ORACLES = {
     "op1_url_filters": url_filters.ORACLE,
