@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import packing, quality_rules, token_store, url_filters
+from . import jaccard_join, packing, quality_rules, token_store, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op4_token_store": token_store.op4_token_store,
+    "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
 ORACLES = {
     "op1_url_filters": url_filters.ORACLE,
     "op2_quality_rules": quality_rules.ORACLE,
+    "op7_ngram_jaccard_join": jaccard_join.ORACLE,
 }
