@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, packing, quality_rules, token_store, url_filters
+from . import jaccard_join, packing, quality_rules, suffix_dedup, token_store, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_token_store": token_store.op4_token_store,
     "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op10_suffix_array_dedup": suffix_dedup.op10_suffix_array_dedup,
 }
 ORACLES = {
     "op1_url_filters": url_filters.ORACLE,
