@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, packing, quality_rules, suffix_dedup, token_store, url_filters
+from . import jaccard_join, packing, quality_classifier, quality_rules, suffix_dedup, token_store, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op4_token_store": token_store.op4_token_store,
+    "op5_quality_classifier": quality_classifier.op5_quality_classifier,
     "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op10_suffix_array_dedup": suffix_dedup.op10_suffix_array_dedup,

@@ -253,32 +253,41 @@ def window_spans(distinct: DataFrame) -> DataFrame:
     return alone.unionByName(found).unionByName(same).unionByName(rest)
 
 
-def _apply(it):
-    names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept")
-    for b in it:
-        rows = []
-        for k, t, copy, spans in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "copy", "spans")), strict=True):
-            raw = t.encode("utf-8", "surrogatepass")
-            n = len(raw)
-            if copy and n >= LENGTH:
-                rows.append((k, n, n, 1, b""))
-                continue
-            end, removed, count, parts = 0, 0, 0, []
-            last = 0
-            for x in sorted(spans or (), key=lambda x: x["a"]):
-                a, e = x["a"], x["b"]
-                if a > end or not count:
-                    parts.append(raw[last:a])
-                    count += 1
-                    removed += e - a
-                    end = last = e
-                elif e > end:
-                    removed += e - end
-                    end = last = e
-            parts.append(raw[last:])
-            rows.append((k, n, removed, count, b"".join(parts)))
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+#: What dedup_bytes adds.
+ADDED = (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept", "binary"))
+
+
+def _cut(raw: bytes, spans) -> tuple[int, int, bytes]:
+    """(bytes removed, runs removed, what is left) of a text without the spans."""
+    removed = runs = last = 0
+    parts = []
+    for a, e in sorted((x["a"], x["b"]) for x in spans):
+        if a > last or not runs:
+            parts.append(raw[last:a])
+            runs += 1
+            removed += e - a
+            last = e
+        elif e > last:
+            removed += e - last
+            last = e
+    parts.append(raw[last:])
+    return removed, runs, b"".join(parts)
+
+
+def _apply(names: list[str]):
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+
+    def run(it):
+        for b in it:
+            rows = []
+            for t, copy, spans in zip(*(b.column(len(names) + i).to_pylist() for i in range(3)), strict=True):
+                raw = t.encode("utf-8", "surrogatepass")
+                whole = copy and len(raw) >= LENGTH
+                rows.append((len(raw), *((len(raw), 1, b"") if whole else _cut(raw, spans or ()))))
+            cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], *cols], [*names, *(n for n, _ in ADDED)])
+
+    return run
 
 
 def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -312,17 +321,41 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def dedup_bytes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes) of docs (doc_id, text)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("fp", F.xxhash64("text"))
-    copies, spans = removed_spans(rows)
+    """docs (doc_id, text, ...) with n_bytes, n_removed, n_spans and kept (the remaining bytes); columns of these names are replaced."""
+    from pyspark.sql.types import StructType
+
+    docs = docs.drop(*(n for n, _ in ADDED))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("fp", F.xxhash64("text"))
+    copies, spans = removed_spans(plain)
     marks = copies.withColumn("copy", F.lit(True)).join(spans, ["doc_id", "fp"], "full")
+    marks = marks.select(F.col("doc_id").alias("__d"), F.col("fp").alias("__f"), F.col("copy").alias("__copy"), F.col("spans").alias("__spans"))
     marks, _ = materialize(marks, "marks")
-    held = marks.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("spans")), F.lit(0)).alias("s")).first()
+    held = marks.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("__spans")), F.lit(0)).alias("s")).first()
     if held["n"] <= MAX_BROADCAST_IDS and held["s"] <= MAX_BROADCAST_SPANS:
         marks = F.broadcast(marks)
-    out = rows.join(marks, ["doc_id", "fp"], "left").select("doc_id", "text", "copy", "spans")
-    return out.mapInArrow(_apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    rows = docs.withColumn("__t", text)
+    out = rows.join(marks, (rows["doc_id"] == marks["__d"]) & (F.xxhash64("__t") == marks["__f"]), "left")
+    out = out.select(*[docs[c] for c in docs.columns], "__t", "__copy", "__spans")
+    schema = StructType(list(docs.schema.fields))
+    for n, t in ADDED:
+        schema = schema.add(n, t)
+    return out.mapInArrow(_apply(docs.columns), schema)
+
+
+def dedup_texts(docs: DataFrame) -> DataFrame:
+    """docs whose texts are what is left of them; a character that lost part of its bytes goes whole."""
+
+    def run(it):
+        for b in it:
+            names = b.schema.names
+            texts = [k.decode("utf-8", "ignore") for k in b.column("kept").to_pylist()]
+            cols = [pa.array(texts, pa.string()) if n == "text" else b.column(n) for n in names]
+            keep = [i for i, n in enumerate(names) if n not in dict(ADDED)]
+            yield pa.RecordBatch.from_arrays([cols[i] for i in keep], [names[i] for i in keep])
+
+    docs = docs.drop(*(n for n, _ in ADDED))
+    return dedup_bytes(docs).mapInArrow(run, docs.schema)
 
 
 def op10_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
