@@ -11,9 +11,11 @@ Two documents link when their sets of distinct 5-word shingles have a similarity
    d(A, {s}) is ``1 - 1/|A|`` if A holds s and 1 otherwise, so A's nearest pivots are its own shingles, and
    ties go to the rarest. The triangle-inequality window of radius 1/4 around a region reaches A exactly
    for the ``|A| - ceil(3|A|/4) + 1`` first pivots of A: a linked pair meets in the region of the first
-   shingle that both hold. Regions with the same documents are one region.
+   shingle that both hold, and its place in both orders bounds what can follow it, so pairs without room
+   for enough common shingles are left out. Regions with the same documents are one: the first in order.
 4. *Recursion.* A region of at most SMALL documents is compared in full. A larger one takes document
-   pivots: every member is compared with them, members that link join their component, and only members of
+   pivots (first the member with the fewest shingles of its own, most often the text that others were
+   copied from): every member is compared with them, members that link join their component, and only members of
    different components remain to be compared. After SPLITS rounds the rest is compared in full, but for
    pairs that the triangle inequality rules out: ``|d(x,p) - d(y,p)| > 1/4`` for the region's pivot p.
 
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, mix64, pack_arrays, partitions, table, unpack_arrays
+from .common import connected_components, materialize, mix64, pack_arrays, partitions, remove, table, unpack_arrays
 
 NGRAM = 5
 SMALL = 8
@@ -169,6 +171,12 @@ def _near(na: Column, nb: Column) -> Column:
     return 4 * F.least(na, nb) >= 3 * F.greatest(na, nb)
 
 
+def _meet(n: str, at: str, on: str, oat: str) -> Column:
+    """Sizes and places of the first common shingle that leave room for a similarity of 0.75."""
+    n, at, on, oat = F.col(n), F.col(at), F.col(on), F.col(oat)
+    return _near(n, on) & (7 * F.least(n - at, on - oat) >= 3 * (n + on))
+
+
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (a, b) with inter, na, nb: sizes of the intersection and of both sets."""
     x = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("sh").alias("sa")), "a")
@@ -210,37 +218,44 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM) -> tuple[DataFrame, DataFrame]
     held = each.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
     own = each.join(held, "s").groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("ps"))
     reach = F.expr("n - ceil(3 * n / 4) + 1 - (n - size(ps))").cast("int")
-    near = own.where(reach > 0).select("doc_id", "n", F.explode(F.slice("ps", 1, F.greatest(reach, F.lit(1)))).alias("p"))
-    near, near_path = materialize(near.select(F.col("p.s").alias("s"), "doc_id", "n"), "windows")
-    sig = near.groupBy("s").agg(F.count("*").alias("m"), F.expr("bit_xor(xxhash64(doc_id))").alias("x"), F.expr("bit_xor(xxhash64(doc_id, 1))").alias("y"), F.min(F.struct(F.xxhash64("doc_id"), "doc_id", "n")).alias("p"))
-    regions = sig.where("m > 1").groupBy("m", "x", "y").agg(F.min(F.struct("s", F.col("p.doc_id").alias("p"), F.col("p.n").alias("pn"))).alias("r")).select("m", "r.*")
-    cells, _ = materialize(near.join(regions, "s"), "regions")
-
-    small = cells.where(F.col("m") <= SMALL).groupBy("s").agg(F.sort_array(F.collect_list(F.struct("doc_id", "n"))).alias("ms"))
+    rare = F.col("n") - F.size("ps")
+    first = F.transform(F.slice("ps", 1, F.greatest(reach, F.lit(1))), lambda p, i: F.struct(p["df"].alias("df"), p["s"].alias("s"), (rare + i).alias("at")))
+    near = own.where(reach > 0).select("doc_id", "n", rare.alias("u"), F.explode(first).alias("p")).select("p.*", "doc_id", "n", "u")
+    near, near_path = materialize(near, "windows")
+    pivot = F.min(F.struct("u", F.xxhash64("doc_id").alias("x"), "doc_id", "n", "at")).alias("p")
+    sig = near.groupBy("s").agg(F.count("*").alias("m"), F.min("df").alias("df"), F.expr("bit_xor(xxhash64(doc_id))").alias("x"), F.expr("bit_xor(xxhash64(doc_id, 1))").alias("y"), pivot)
+    regions = sig.where("m > 1").groupBy("m", "x", "y").agg(F.min(F.struct("df", "s", "p")).alias("r"))
+    regions = regions.select("m", "r.s", F.col("r.p.doc_id").alias("p"), F.col("r.p.n").alias("pn"), F.col("r.p.at").alias("pat"))
+    cells, _ = materialize(near.select("s", "doc_id", "n", "u", "at").join(regions, "s"), "regions")
+    remove(spark, near_path)
+
+    small = cells.where(F.col("m") <= SMALL).groupBy("s").agg(F.sort_array(F.collect_list(F.struct("doc_id", "n", "at"))).alias("ms"))
     each2 = small.select(F.explode(F.expr("flatten(transform(ms, (x, i) -> transform(slice(ms, i + 2, size(ms)), y -> struct(x, y))))")).alias("q"))
-    pairs = each2.where(_near(F.col("q.x.n"), F.col("q.y.n"))).select(F.col("q.x.doc_id").alias("a"), F.col("q.y.doc_id").alias("b"))
+    pairs = each2.where(_meet("q.x.n", "q.x.at", "q.y.n", "q.y.at")).select(F.col("q.x.doc_id").alias("a"), F.col("q.y.doc_id").alias("b"))
     large = cells.where(F.col("m") > SMALL)
     stars = large.where((F.col("doc_id") != F.col("p")) & _near(F.col("n"), F.col("pn"))).select(*_pair("doc_id", "p"))
-    known, path = materialize(_verify(pairs.unionAll(stars).where("a <> b").distinct(), sets), "links")
+    known, _ = materialize(_verify(pairs.unionAll(stars).where("a <> b").distinct(), sets), "links")
     for split in range(SPLITS + 1):
         label, _ = materialize(connected_components(known.where(LINKED).select("a", "b")), "labels")
         x = large.join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id"))
         open_ = x.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("s")
-        x = x.join(open_, "s").select("s", "doc_id", "n", "c", "p")
+        x, _ = materialize(x.join(open_, "s").select("s", "doc_id", "n", "u", "at", "c", "p"), "open")
         if x.isEmpty():
             break
         if split < SPLITS:
-            picks = [F.min(F.struct(F.xxhash64("doc_id", F.lit(PIVOTS * split + i + 1)), "doc_id", "n", "c")).alias(f"p{i}") for i in range(PIVOTS)]
+            # Pivots: the most central members (fewest shingles of their own) of some of the region's components.
+            picks = [F.min(F.struct(F.xxhash64("c", F.lit(PIVOTS * split + i)).alias("x"), "u", "doc_id", "n", "c", "at")).alias(f"p{i}") for i in range(PIVOTS)]
             x = x.join(x.groupBy("s").agg(*picks), "s")
-            x = x.withColumn("q", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])))
-            more = x.where((F.col("q.c") != F.col("c")) & _near(F.col("n"), F.col("q.n"))).select("doc_id", F.col("q.doc_id").alias("o"))
+            x = x.withColumn("q", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(PIVOTS)]))))
+            more = x.where((F.col("q.c") != F.col("c")) & _meet("n", "at", "q.n", "q.at")).select("doc_id", F.col("q.doc_id").alias("o"))
         else:
             far = known.select("a", "b", (1 - F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter"))).alias("d"))
             far = far.unionAll(far.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
             x = x.join(far.select(F.col("a").alias("doc_id"), F.col("b").alias("p"), "d"), ["doc_id", "p"], "left")
-            y = x.select("s", F.col("doc_id").alias("o"), F.col("n").alias("on"), F.col("c").alias("oc"), F.col("d").alias("od"))
-            more = x.join(y, "s").where((F.col("doc_id") < F.col("o")) & (F.col("c") != F.col("oc")) & _near(F.col("n"), F.col("on")))
-            more = more.where(F.coalesce(F.abs(F.col("d") - F.col("od")) <= 0.25 + 1e-9, F.lit(True))).select("doc_id", "o")
+            y = x.select("s", F.col("doc_id").alias("o"), F.col("n").alias("on"), F.col("at").alias("oat"), F.col("c").alias("oc"), F.col("d").alias("od"))
+            meet = (F.col("doc_id") < F.col("o")) & (F.col("c") != F.col("oc")) & _meet("n", "at", "on", "oat")
+            meet &= F.coalesce(F.abs(F.col("d") - F.col("od")) <= 0.25 + 1e-9, F.lit(True))
+            more = x.join(y, "s").where(meet).select("doc_id", "o")
         more = more.select(*_pair("doc_id", "o")).distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
         known, _ = materialize(known.unionAll(_verify(more, sets)), "links")
     links = known.where(LINKED)
