@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import struct
 import tempfile
 import uuid
@@ -36,9 +37,16 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver collect its garbage, so that shuffle files which nothing needs leave the disks."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def remove(spark: SparkSession, *paths: str) -> None:
     """Delete scratch tables that nothing reads any more."""
     for p in paths:

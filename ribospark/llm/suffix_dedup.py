@@ -216,15 +216,15 @@ def _windows(it):
 
 
 def _bucket_spans(t: pa.Table) -> pa.Table:
-    """For one bucket of distinct windows: the spans of their maximal repeats, with the repeats' least doc_id."""
+    """For one bucket of distinct windows: the spans of their repeats, with the repeats' least doc_id."""
     w, lo, hi = t.column("w").to_pylist(), t.column("lo").to_numpy(), t.column("hi").to_numpy()
-    spans: dict[int, dict] = {}
+    spans: dict[int, dict] = {i: {(0, len(w[i])): int(lo[i])} for i in np.flatnonzero(lo < hi).tolist() if len(w[i]) >= LENGTH}
     for n, win, at in maximal_repeats(w):
         least = int(lo[win].min())
-        for x, p in zip(win.tolist(), at.tolist(), strict=True):
-            if hi[x] > least:
-                held = spans.setdefault(x, {})
-                held[p, p + n] = min(least, held.get((p, p + n), least))
+        on = hi[win] > least
+        for x, p in zip(win[on].tolist(), at[on].tolist(), strict=True):
+            held = spans.setdefault(x, {})
+            held[p, p + n] = min(least, held.get((p, p + n), least))
     rows = [(w[x], [{"a": a, "b": b, "lo": m} for (a, b), m in s.items()]) for x, s in spans.items()]
     kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("lo", pa.int64())]))
     return pa.Table.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], kind)], ["w", "spans"])
@@ -239,18 +239,16 @@ def window_spans(distinct: DataFrame) -> DataFrame:
     total = sizes.agg(F.sum(F.when(F.col("m") <= HOT, F.col("m")))).first()[0] or 0
     buckets = max(partitions(distinct.sparkSession), -(-total // BUCKET))
     with_m = distinct.join(sizes, "h", "left").withColumn("m", F.coalesce("m", F.lit(1)))
-    # A window that is its anchor's only one is still a repeat of itself if it has two doc_ids.
-    alone = with_m.where("m = 1 AND lo < hi").select("w", F.array(F.struct(F.lit(0).alias("a"), F.length("w").alias("b"), "lo")).alias("spans"))
-    alone = alone.where(F.length("w") >= LENGTH)
-    some = with_m.where((F.col("m") > 1) & (F.col("m") <= HOT))
-    doubled = some.withColumn("bucket", F.pmod(F.col("h"), F.lit(buckets)))
-    found = doubled.groupBy("bucket").applyInArrow(_bucket_spans, SPANS)
-    same = some.where("lo < hi").where(F.length("w") >= LENGTH).select("w", F.array(F.struct(F.lit(0).alias("a"), F.length("w").alias("b"), "lo")).alias("spans"))
-    hot = with_m.where(F.col("m") > HOT).where(F.length("w") >= LENGTH)
+    long = F.length("w") >= LENGTH
+    # A window that is its anchor's only one is a repeat of itself if it has two doc_ids.
+    alone = with_m.where(F.expr("m = 1 AND lo < hi") & long).select("w", F.array(F.struct(F.lit(0).alias("a"), F.length("w").alias("b"), "lo")).alias("spans"))
+    some = with_m.where((F.col("m") > 1) & (F.col("m") <= HOT)).withColumn("bucket", F.pmod(F.col("h"), F.lit(buckets)))
+    found = some.select("bucket", "w", "lo", "hi").groupBy("bucket").applyInArrow(_bucket_spans, SPANS)
+    hot = with_m.where((F.col("m") > HOT) & long)
     grams = hot.select("w", "lo", "hi", F.posexplode(F.transform(F.sequence(F.lit(1), F.length("w") - (LENGTH - 1)), lambda i: F.substring(F.col("w"), i, F.lit(LENGTH)))).alias("a", "g"))
     least = grams.groupBy("g").agg(F.min("lo").alias("least"))
-    rest = grams.join(least, "g").where("hi > least").select("w", F.array(F.struct("a", (F.col("a") + LENGTH).alias("b"), F.col("least").alias("lo"))).alias("spans"))
-    return alone.unionByName(found).unionByName(same).unionByName(rest)
+    rest = grams.join(least, "g").where("hi > least").groupBy("w").agg(F.collect_list(F.struct("a", (F.col("a") + LENGTH).alias("b"), F.col("least").alias("lo"))).alias("spans"))
+    return alone.unionByName(found).unionByName(rest)
 
 
 #: What dedup_bytes adds.
@@ -306,17 +304,19 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sent = firsts.select("doc_id", "fp", "text").mapInArrow(_send_anchors(r), "rng int, blob binary")
     places = sent.groupBy("rng").applyInArrow(_common_anchors, "doc_id long, fp long, at array<int>")
     places, places_path = materialize(places.groupBy("doc_id", "fp").agg(F.collect_list("at").alias("ats")), "places")
-    occ, _ = materialize(firsts.join(places, ["doc_id", "fp"]).select("doc_id", "fp", "text", "ats").mapInArrow(_windows, "doc_id long, fp long, h long, w binary, start int"), "windows")
+    occ, occ_path = materialize(firsts.join(places, ["doc_id", "fp"]).select("doc_id", "fp", "text", "ats").mapInArrow(_windows, "doc_id long, fp long, h long, w binary, start int"), "windows")
     remove(spark, places_path)
     distinct, distinct_path = materialize(occ.groupBy("h", "w").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")), "distinct")
-    found, _ = materialize(window_spans(distinct), "spans")
+    keys = [F.xxhash64("w").alias("k1"), F.xxhash64("w", F.lit(1)).alias("k2")]
+    found, found_path = materialize(window_spans(distinct).select(*keys, "spans"), "spans")
     remove(spark, distinct_path)
-    cut = occ.select("doc_id", "fp", "w", "start").join(found, "w")
-    cut = cut.select("doc_id", "fp", "start", F.filter("spans", lambda x: x["lo"] < F.col("doc_id")).alias("spans")).where(F.size("spans") > 0)
-    # Spans of one window are merged here: they overlap, as all hold its anchor, or lie beside each other.
-    flat = cut.select("doc_id", "fp", F.explode(F.transform("spans", lambda x: F.struct((F.col("start") + x["a"]).alias("a"), (F.col("start") + x["b"]).alias("b")))).alias("s"))
-    widest = flat.groupBy("doc_id", "fp", F.col("s.a").alias("a")).agg(F.max("s.b").alias("b"))
-    spans, _ = materialize(widest.groupBy("doc_id", "fp").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "cuts")
+    # Two spans of one window have 50 of its at most 84 bytes each, so they overlap: their union is one span.
+    mine = F.filter("spans", lambda x: x["lo"] < F.col("doc_id"))
+    cut = occ.select("doc_id", "fp", "start", *keys).join(found, ["k1", "k2"]).select("doc_id", "fp", "start", mine.alias("m")).where(F.size("m") > 0)
+    at = lambda f, x: (F.col("start") + f(F.transform("m", lambda y: y[x]))).alias(x)
+    cut = cut.select("doc_id", "fp", F.struct(at(F.array_min, "a"), at(F.array_max, "b")).alias("s"))
+    spans, _ = materialize(cut.groupBy("doc_id", "fp").agg(F.collect_list("s").alias("spans")), "cuts")
+    remove(spark, occ_path, found_path)
     return copies, spans
 
 
