@@ -32,8 +32,9 @@ from .common import connected_components, materialize, table
 
 LEAST = 0.9
 SAMPLE = 20_000
-ROTATIONS = 6
-BUCKET = 2_000
+ROTATIONS = 4
+BUCKET = 500
+BUNDLE = 20_000
 
 
 def learn_rotation(x: np.ndarray, seed: int, rounds: int = 30) -> np.ndarray:
@@ -99,16 +100,43 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
+def _near_offsets(k: np.ndarray, ids: np.ndarray, x: np.ndarray, least: float):
+    """(a, b) of the pairs within each bucket of many small ones, rows apart by 1, 2, ... at a time."""
+    order = np.argsort(k, kind="stable")
+    k, ids, x = k[order], ids[order], x[order]
+    i = np.arange(len(k))
+    off = 1
+    while len(i := i[i + off < len(k)]) and len(i := i[k[i] == k[i + off]]):
+        j = i + off
+        on = cosine(x[i], x[j]) >= least
+        yield np.minimum(ids[i[on]], ids[j[on]]), np.maximum(ids[i[on]], ids[j[on]])
+        off += 1
+
+
+def _table(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    lists = t.column("x").combine_chunks()
+    return t.column("id").to_numpy(), lists.flatten().to_numpy().reshape(len(lists), -1).astype(np.float64)
+
+
+def _found(parts) -> pa.Table:
+    parts = list(parts)
+    a, b = (np.concatenate([np.empty(0, np.int64), *(p[i] for p in parts)]) for i in (0, 1))
+    both = np.unique(np.stack((a, b), 1), axis=0)
+    return pa.Table.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+
+def _small(least: float):
+    def run(t: pa.Table) -> pa.Table:
+        ids, x = _table(t)
+        return _found(_near_offsets(t.column("k").to_numpy(), ids, x, least))
+
+    return run
+
+
 def _pairs(least: float):
     def run(t: pa.Table) -> pa.Table:
-        ids = t.column("id").to_numpy()
-        x = np.stack(t.column("x").to_numpy(zero_copy_only=False)).astype(np.float64)
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for p, q, c in _in_reach(ids, x, least):
-            on = c >= least
-            a.append(p[on])
-            b.append(q[on])
-        return pa.Table.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+        ids, x = _table(t)
+        return _found((p[c >= least], q[c >= least]) for p, q, c in _in_reach(ids, x, least))
 
     return run
 
@@ -128,7 +156,8 @@ def near_pairs(vectors: DataFrame, least: float = LEAST, rotations: int = ROTATI
 
     def keys(it):
         for b in it:
-            x = unit(np.stack(b.column("x").to_numpy(zero_copy_only=False)).astype(np.float64))
+            lists = b.column("x")
+            x = unit(lists.flatten().to_numpy().reshape(len(lists), -1).astype(np.float64))
             k = band_codes(x, mean, turns, bands)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(k) + 1, dtype=np.int32) * k.shape[1]), pa.array(k.reshape(-1)))
             yield pa.RecordBatch.from_arrays([b.column("id"), lists], ["id", "ks"])
@@ -139,25 +168,33 @@ def near_pairs(vectors: DataFrame, least: float = LEAST, rotations: int = ROTATI
     sizes = coded.groupBy("k").agg(F.count("*").alias("m"), F.expr("bit_xor(xxhash64(id))").alias("s1"), F.expr("bit_xor(xxhash64(id, 1))").alias("s2"))
     once = sizes.where("m > 1").groupBy("m", "s1", "s2").agg(F.min("k").alias("k"))
     cells = coded.join(once, "k")
+    # Small buckets go to tasks in bundles of about BUNDLE rows.
+    bundles = max(1, -(-(rows * len(bands) * rotations) // BUNDLE))
+    few = cells.where(F.col("m") <= BUCKET).withColumn("g", F.pmod(F.xxhash64("k"), F.lit(bundles)))
+    near = few.select("id", "k", "g").join(vectors, "id").groupBy("g").applyInArrow(_small(least), "a long, b long")
     # A bucket above BUCKET rows is compared as pairs of its parts, each in its own task.
-    parts = F.greatest(F.lit(1), F.ceil(F.col("m") / BUCKET)).cast("int")
-    part = F.pmod(F.xxhash64("id", F.lit(9)), parts).cast("int")
-    cells = cells.withColumns({"parts": parts, "part": part})
+    cells = cells.where(F.col("m") > BUCKET)
+    parts = F.ceil(F.col("m") / BUCKET).cast("int")
+    cells = cells.withColumns({"parts": parts, "part": F.pmod(F.xxhash64("id", F.lit(9)), parts).cast("int")})
     other = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j")))
     cells = cells.select("id", "k", F.explode(other).alias("p"))
-    grouped = cells.join(vectors, "id").groupBy("k", "p").applyInArrow(_pairs(least), "a long, b long")
+    large = cells.join(vectors, "id").groupBy("k", "p").applyInArrow(_pairs(least), "a long, b long")
+    grouped = near.unionAll(large)
     return grouped.distinct()
 
 
 def embedding_links(emb: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
     """(members, links) of emb (vec_id, embedding): members has vec_id, n_links, component_id, kept."""
     spark = emb.sparkSession
-    rows = emb.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x"))
+    rows = emb.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("x"))
+    if rows.schema["x"].dataType.elementType.typeName() != "float":  # single precision travels as it is
+        rows = rows.withColumn("x", F.col("x").cast("array<double>"))
     dim = rows.where("x IS NOT NULL").groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     dim = dim[0]["d"] if dim else 0
     fine = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
     ok = (F.size("x") == dim) & F.coalesce(F.forall("x", fine), F.lit(False)) & F.exists("x", lambda v: v != 0) & F.col("vec_id").isNotNull()
-    valid = rows.where(ok).select("vec_id", "x").withColumn("x", F.transform("x", lambda v: v + F.lit(0.0)))
+    kind = rows.schema["x"].dataType.elementType
+    valid = rows.where(ok).select("vec_id", "x").withColumn("x", F.transform("x", lambda v: F.when(v == 0, F.lit(0.0).cast(kind)).otherwise(v)))
     classes = valid.groupBy("x").agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("copies"))
     classes, _ = materialize(classes, "classes")
     links, _ = materialize(near_pairs(classes.select(F.col("rep").alias("id"), "x"), least), "pairs")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, packing, quality_classifier, quality_rules, suffix_dedup, token_store, url_filters
+from . import embedding_dedup, jaccard_join, packing, quality_classifier, quality_rules, suffix_dedup, token_store, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_embedding_dedup": embedding_dedup.op3_embedding_dedup,
     "op4_token_store": token_store.op4_token_store,
     "op5_quality_classifier": quality_classifier.op5_quality_classifier,
     "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
@@ -16,5 +17,6 @@ QUERIES = {
 ORACLES = {
     "op1_url_filters": url_filters.ORACLE,
     "op2_quality_rules": quality_rules.ORACLE,
+    "op3_embedding_dedup": embedding_dedup.ORACLE,
     "op7_ngram_jaccard_join": jaccard_join.ORACLE,
 }
