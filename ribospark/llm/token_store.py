@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import wavelet
 from .common import materialize, partitions, scratch_root, table
-from .tokens import batches, encoder, tokenizer_path
+from .tokens import encoder, slices, tokenizer_path
 
 SHARD_TOKENS = 1 << 21
 SHARD_SCHEMA = "part int, seq int, n_docs int, n_tokens long, payload binary"
@@ -45,10 +45,10 @@ def _shards(path: str, spaces: str, end_id: int, shard_tokens: int):
             names = ("part", "seq", "n_docs", "n_tokens", "payload")
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types, strict=True)], names)
 
-        for b in it:
-            keys = b.column("doc_id").to_pylist()
-            for at, texts in batches(b.column("text").to_pylist()):
-                for k, e in zip(keys[at : at + len(texts)], enc.encode(texts), strict=True):
+        for whole in it:
+            for b in slices(whole):
+                texts = [t or "" for t in b.column("text").to_pylist()]
+                for k, e in zip(b.column("doc_id").to_pylist(), enc.encode(texts), strict=True):
                     ids.append(e + end)
                     docs.append(k)
                     lengths.append(len(e) // 4 + 1)
@@ -108,11 +108,11 @@ def encode_documents(docs: DataFrame, tokenizer: str, spaces: str, end_id: int =
 
     def run(it):
         enc, end = encoder(tokenizer, spaces), np.array([end_id], "<u4").tobytes()
-        for b in it:
-            keys = b.column("doc_id")
-            for at, texts in batches(b.column("text").to_pylist()):
+        for whole in it:
+            for b in slices(whole):
+                texts = [t or "" for t in b.column("text").to_pylist()]
                 found = pa.array([e + end for e in enc.encode(texts)], pa.binary())
-                yield pa.RecordBatch.from_arrays([keys.slice(at, len(texts)), found], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), found], ["doc_id", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return materialize(rows.mapInArrow(run, "doc_id long, ids binary"), "ids")

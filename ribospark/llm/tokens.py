@@ -15,7 +15,21 @@ import re
 import numpy as np
 
 #: Words in a worker's cache; when full it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
+
+
+#: White space by Unicode, and the separators that some engines count as such; a cut next to any is left out.
+RARE_SPACE = tuple("\t\v\f\r\x1c\x1d\x1e\x1f")
+WIDE_SPACE = tuple("\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+_NEXT_TO_BLANK = re.compile(r" \s|\s ")
+
+
+def _odd_blanks(text: str) -> bool:
+    """Whether a blank stands at an end of the text or next to other white space."""
+    if text[:1].isspace() or text[-1:].isspace() or "  " in text or "\n " in text or " \n" in text:
+        return True
+    rare = any(c in text for c in RARE_SPACE) or not text.isascii() and any(c in text for c in WIDE_SPACE)
+    return rare and _NEXT_TO_BLANK.search(text) is not None
 
 
 class CachedEncoder:
@@ -34,11 +48,11 @@ class CachedEncoder:
         with open(path, encoding="utf-8") as f:
             self.special = [t["content"] for t in json.load(f).get("added_tokens", [])]
         self.spaces = spaces
-        self.uncut = re.compile(r"\A\s|\s\Z| \s|\s ")
+        self.batch = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)  # without offsets, where offered
         self.cache: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tok.encode_batch(texts, add_special_tokens=False)
+        found = self.batch(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _pieces(self, text: str) -> list[str] | None:
@@ -47,21 +61,19 @@ class CachedEncoder:
             return None
         if self.spaces == "drop":
             return text.replace("\n", " ").split(" ")
-        return None if self.uncut.search(text) else text.split(" ")
+        return None if _odd_blanks(text) else text.split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cuts = [self._pieces(t) for t in texts]
         lead = self.spaces == "lead"
-        need: set[str] = set()
+        used: set[str] = set()
         for c in cuts:
             if c is not None:
-                need.update(c[1:] if lead else c)
-        need.difference_update(self.cache)
-        if need:
-            if len(self.cache) + len(need) > CACHE_WORDS:
-                self.cache = {}
-                need = set().union(*((c[1:] if lead else c) for c in cuts if c is not None))
-            new = list(need)
+                used.update(c[1:] if lead else c)
+        new = [w for w in used if w not in self.cache]
+        if new:
+            if len(self.cache) + len(new) > CACHE_WORDS:  # the words of these texts stay
+                self.cache = {w: self.cache[w] for w in used if w in self.cache}
             self.cache.update(zip(new, self._whole([" " + w for w in new] if lead else new), strict=True))
         rest = [i for i, c in enumerate(cuts) if c is None]
         whole = dict(zip(rest, self._whole([texts[i] for i in rest]), strict=True)) if rest else {}
@@ -83,17 +95,16 @@ def encoder(path: str, spaces: str) -> CachedEncoder:
     return CachedEncoder(path, spaces)
 
 
-def batches(texts: list, chars: int = 4_000_000):
-    """(start, texts with "" for null) of about chars characters each, to bound what is held at once."""
-    at, size, out = 0, 0, []
-    for i, t in enumerate(texts):
-        out.append(t or "")
-        size += len(out[-1])
-        if size >= chars:
-            yield at, out
-            at, size, out = i + 1, 0, []
-    if out:
-        yield at, out
+def slices(batch, size: int = 3_000_000):
+    """(start, batch) parts of an Arrow batch with a text column, of about size bytes of text each."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    n = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0)).astype(np.int64)
+    part = np.cumsum(n) // size
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(n)] if len(n) else [0]
+    for a, b in zip(edges, edges[1:]):
+        yield batch.slice(a, b - a)
 
 
 def tokenizer_path(name: str) -> str:
