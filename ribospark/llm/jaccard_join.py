@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected_components, materialize, mix64, pack_arrays, partitions, remove, table, unpack_arrays
+from .tokens import slices
 
 NGRAM = 5
 SMALL = 8
@@ -44,8 +45,8 @@ SPLITS = 2
 PIVOTS = 4
 #: doc_ids that are broadcast to filter texts (8 bytes each); more are joined by a shuffle.
 MAX_BROADCAST_IDS = 2_000_000
-CACHE_WORDS = 400_000
-BLOCK_CHARS = 16_000_000
+CACHE_WORDS = 250_000
+BLOCK_CHARS = 8_000_000
 
 
 class _WordHash(dict):
@@ -98,7 +99,7 @@ def _send(n: int, ranges: int, keep: int):
 
     def run(it):
         ids, sets, held = [], [], 0
-        for b in it:
+        for b in (x for whole in it for x in slices(whole)):
             for k, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 ids.append(k)
                 sets.append(shingles(t, n))

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, mix64, pack_arrays, partitions, remove, table, unpack_arrays
+from .tokens import slices
 
 LENGTH = 50
 GRAM = 16
@@ -39,7 +40,7 @@ GRAM = 16
 HOT = 50_000
 #: Windows in a bucket, about: bounds a task's suffix array.
 BUCKET = 12_000
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 MAX_BROADCAST_IDS = 2_000_000
 MAX_BROADCAST_SPANS = 1_000_000
 
@@ -155,7 +156,7 @@ def _send_anchors(ranges: int):
         def out():
             return blobs(np.array(ids, np.int64), np.array(prints, np.int64), found)
 
-        for b in it:
+        for b in (x for whole in it for x in slices(whole)):
             for k, f, t in zip(*(b.column(c).to_pylist() for c in ("doc_id", "fp", "text")), strict=True):
                 raw = t.encode("utf-8", "surrogatepass")
                 if len(raw) >= LENGTH:
@@ -201,7 +202,7 @@ def _common_anchors(t: pa.Table) -> pa.Table:
 def _windows(it):
     """The window of every common anchor: h, w, and where w starts in the document."""
     names = ("doc_id", "fp", "h", "w", "start")
-    for b in it:
+    for b in (x for whole in it for x in slices(whole)):
         for k, f, t, ats in zip(*(b.column(c).to_pylist() for c in ("doc_id", "fp", "text", "ats")), strict=True):
             raw = t.encode("utf-8", "surrogatepass")
             all_at = np.sort(np.concatenate([np.asarray(x, np.int64) for x in ats]))
@@ -276,7 +277,7 @@ def _apply(names: list[str]):
     types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
 
     def run(it):
-        for b in it:
+        for b in (x for whole in it for x in slices(whole)):
             rows = []
             for t, copy, spans in zip(*(b.column(len(names) + i).to_pylist() for i in range(3)), strict=True):
                 raw = t.encode("utf-8", "surrogatepass")
