@@ -41,6 +41,8 @@ from .tokens import slices
 
 NGRAM = 5
 SMALL = 8
+#: Hash ranges of the boundary test, at least.
+MIN_RANGES = 32
 SPLITS = 2
 PIVOTS = 4
 #: doc_ids that are broadcast to filter texts (8 bytes each); more are joined by a shuffle.
@@ -201,7 +203,7 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM) -> tuple[DataFrame, DataFrame]
     to connect whatever links.
     """
     spark = docs.sparkSession
-    r = partitions(spark)
+    r = max(MIN_RANGES, partitions(spark))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sent = docs.mapInArrow(_send(n, r, 32), "rng int, blob binary")
     replies = sent.groupBy("rng").applyInArrow(_shared, "doc_id long, n long, shared long")
