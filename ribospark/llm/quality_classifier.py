@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 #: Texts of either kind that the model is fitted on, about.
 MAX_SAMPLE = 20_000
@@ -195,6 +195,7 @@ def fold(doc_id: Column, of: int) -> Column:
 
 def fit_documents(docs: DataFrame, labels: DataFrame, sample: int = MAX_SAMPLE) -> PUClassifier | None:
     """Fit on docs (doc_id, text): positives by labels (doc_id, quality), unlabelled those without a label; fold 1 of 3 is held out."""
+    small_batches(docs.sparkSession)
     learn = docs.where(fold(F.col("doc_id"), 3) != 1).select("doc_id", F.col("text").cast("string").alias("text"))
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("quality") == 1).alias("positive")).where("doc_id IS NOT NULL AND positive IS NOT NULL")
     marks = marks.groupBy("doc_id").agg(F.min("positive").alias("positive"))
