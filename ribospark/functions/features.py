@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sequence import count_of, length1
-from .structure import array_sum, base_pairs, bulge_bases, bulges, helix_stats, inner_runs, num_pairs, pair_shares, run_lengths, stem_runs
+from .structure import array_sum, base_pairs, bulge_bases, bulges, helix_stats, inner_runs, let, num_pairs, pair_shares, run_lengths, stem_runs
 
 #: The motifs whose density is a feature.
 MOTIFS = ("UGU", "UGUG", "GUG", "GCG", "CGC", "AUG")
@@ -57,29 +57,37 @@ def composition(seq: Column, mfe: Column) -> dict[str, Column]:
     return out
 
 
-def segments(seq: Column, s: Column) -> dict[str, Column]:
-    """GC and opening brackets of four parts (the last takes the rest) and their differences.
-
-    Short sequences lack parts: those columns are null and count as 0 in the differences.
-    """
+def segment_parts(seq: Column, s: Column) -> dict[str, Column]:
+    """The four parts of sequence and structure; the last takes the rest."""
     n = F.length(seq)
     part = F.greatest(F.floor(n / 4).cast("int"), F.lit(1))
-    out: dict[str, Column] = {}
+    out = {}
     for i in range(4):
         size = part if i < 3 else F.greatest(n - 3 * part, F.lit(0))
-        sub, fold = F.substring(F.upper(seq), i * part + 1, size), F.substring(s, i * part + 1, size)
-        have = (n > 0) & (n > i * part)
-        out[f"seg{i + 1}_gc"] = F.when(have, (count_of(sub, "G") + count_of(sub, "C")) / F.length(sub))
-        out[f"seg{i + 1}_paired_frac"] = F.when(have, 2.0 * num_pairs(fold) / F.length(sub))
-    change = lambda k: F.when(n > 0, F.coalesce(out[f"seg4_{k}"], F.lit(0.0)) - F.coalesce(out[f"seg1_{k}"], F.lit(0.0)))
-    out["gc_grad_last_first"], out["paired_grad_last_first"] = change("gc"), change("paired_frac")
+        out[f"__q{i}"] = F.substring(F.upper(seq), i * part + 1, size)
+        out[f"__s{i}"] = F.substring(s, i * part + 1, size)
+    return out
+
+
+def segment_shares() -> dict[str, Column]:
+    """Of segment_parts' columns: GC and opening brackets; null where a short sequence lacks the part."""
+    out: dict[str, Column] = {}
+    for i in range(4):
+        q, s = F.col(f"__q{i}"), F.col(f"__s{i}")
+        n = F.nullif(F.length(q), F.lit(0))
+        out[f"seg{i + 1}_gc"] = F.length(F.regexp_replace(q, "[^GC]", "")) / n
+        out[f"seg{i + 1}_paired_frac"] = 2.0 * F.length(F.regexp_replace(s, "[^(]", "")) / n
     return out
 
 
-def stems(seq: Column, s: Column) -> dict[str, Column]:
+def segment_slopes() -> dict[str, Column]:
+    """Last part minus first, missing parts as 0; null for an empty sequence."""
+    change = lambda k: F.when(F.col("seg1_gc").isNotNull(), F.coalesce(F.col(f"seg4_{k}"), F.lit(0.0)) - F.col(f"seg1_{k}"))
+    return {"gc_grad_last_first": change("gc"), "paired_grad_last_first": change("paired_frac")}
+
+
+def stems(seq: Column, pairs: Column, runs: Column) -> dict[str, Column]:
     """Pair composition and helix statistics."""
-    pairs = base_pairs(s)
-    runs = stem_runs(pairs)
     h = helix_stats(runs)
     named = {"helix_count": h["n_helices"], "helix_max_len": h["max_helix"], "helix_mean_len": h["mean_helix"], "anchor_stem_len": h["max_helix"]}
     shares = pair_shares(seq, pairs)
@@ -87,42 +95,46 @@ def stems(seq: Column, s: Column) -> dict[str, Column]:
     return {k: shares[v] for k, v in kinds.items()} | {k: c.cast("double") for k, c in named.items()}
 
 
-def bulge_features(s: Column) -> dict[str, Column]:
-    """Unpaired runs inside the span of the pairs: how many, the longest on either side of the middle, chains."""
-    pairs = base_pairs(s)
+def sided_bulges(pairs: Column, runs: Column) -> Column:
+    """Unpaired runs inside the span of the pairs, each with its length and whether its centre is left of the middle."""
     lo, hi = F.array_min(F.transform(pairs, lambda p: p["i"])), F.array_max(F.transform(pairs, lambda p: p["j"]))
-    mid = (lo + hi) / 2
-    inside = F.filter(bulges(s), lambda b: (b["start"] >= lo) & (b["end"] <= hi + 1))
-    sided = F.transform(inside, lambda b: F.struct(b["length"].alias("n"), ((b["start"] + b["end"] - 1) / 2 <= mid).alias("left")))
+
+    def of(x: Column) -> Column:
+        inside = F.filter(runs, lambda b: (b["start"] >= x["lo"]) & (b["end"] <= x["hi"] + 1))
+        return F.transform(inside, lambda b: F.struct(b["length"].alias("n"), (b["start"] + b["end"] - 1 <= x["lo"] + x["hi"]).alias("left")))
+
+    return F.coalesce(let(F.struct(lo.alias("lo"), hi.alias("hi")), of), F.array().cast("array<struct<n:int,left:boolean>>"))
+
+
+def bulge_features(sided: Column) -> dict[str, Column]:
+    """How many bulges, the longest on either side of the middle, chains of neighbours."""
     longest = lambda left: F.coalesce(F.array_max(F.transform(F.filter(sided, lambda b: b["left"] == left), lambda b: b["n"])), F.lit(0)).cast("double")
-    n = F.coalesce(F.when(F.size(pairs) > 0, F.size(inside)), F.lit(0))
-    sides = F.transform(sided, lambda b: b["left"])
-    same = F.size(F.filter(F.transform(sides, lambda x, i: (i > 0) & (x == F.get(sides, i - 1))), lambda x: x))
+    n = F.size(sided)
+    same = F.size(F.filter(F.transform(sided, lambda x, i: (i > 0) & (x["left"] == F.get(sided, i - 1)["left"])), lambda x: F.coalesce(x, F.lit(False))))
     return {
         "bulge_count": n.cast("double"),
         "bulge_max_left": longest(F.lit(True)),
         "bulge_max_right": longest(F.lit(False)),
         "bulge_chain_count": F.greatest(n - 1, F.lit(0)).cast("double"),
-        "bulge_chain_same_side_count": F.when(n > 0, same).otherwise(0).cast("double"),
+        "bulge_chain_same_side_count": same.cast("double"),
     }
 
 
-def loop_motifs(seq: Column, s: Column) -> dict[str, Column]:
-    """Motifs at the largest inner loop (ties: the last) and the stem length against 40 bases."""
+def largest_loop(s: Column, runs: Column) -> Column:
+    """struct(n, a): size and start of the largest run with brackets on both sides (ties: the last); null if none."""
+    last = F.length(s)
+    inner = F.filter(runs, lambda b: (b["start"] > 0) & (b["end"] < last))
+    return F.array_max(F.transform(inner, lambda b: F.struct(b["length"].alias("n"), b["start"].alias("a"))))
+
+
+def loop_motifs(seq: Column, s: Column, best: Column, near: Column) -> dict[str, Column]:
+    """Motifs at the largest inner loop and the stem length against 40 bases; near is the loop with 10 bases either side."""
     u = F.translate(F.upper(seq), "T", "U")
     n = F.greatest(F.length(u), F.lit(1))
-    fold = F.when(F.length(s) > F.length(u), F.substring(s, F.lit(1), F.length(u))).otherwise(s)
-    lead = F.length(F.regexp_extract(fold, r"^(\.*)", 1))
-    trail = F.length(fold) - F.length(F.regexp_extract(fold, r"(\.*)$", 1))
-    inner = F.filter(bulges(fold), lambda b: (b["start"] >= lead) & (b["end"] <= trail) & (b["start"] > 0))
-    best = F.array_max(F.transform(inner, lambda b: F.struct(b["length"].alias("n"), b["start"].alias("a"))))
-    size, start = F.coalesce(best["n"], F.lit(0)), F.coalesce(best["a"], F.lit(0))
-    loop = F.when(best.isNotNull(), F.substring(u, start + 1, size)).otherwise("")
-    a = F.greatest(start - 10, F.lit(0))
-    near = F.when(start + size > 0, F.substring(u, a + 1, F.least(start + size + 10, n) - a)).otherwise(u)
-    spots = F.sequence(F.lit(1), F.greatest(F.length(near) - 3, F.lit(1)))
-    cnnc = F.size(F.filter(spots, lambda i: (F.substring(near, i, F.lit(1)) == "C") & (F.substring(near, i + 3, F.lit(1)) == "C")))
-    ugug, ugu, ug, stem = count_of(loop, "UGUG"), count_of(loop, "UGU"), count_of(F.substring(u, 1, 8), "UG"), num_pairs(fold)
+    size = F.coalesce(best["n"], F.lit(0))
+    loop = F.when(best.isNotNull(), F.substring(u, best["a"] + 1, size)).otherwise("")
+    cnnc = F.length(near) - F.length(F.regexp_replace(near, "C(?=..C)", ""))
+    ugug, ugu, ug, stem = count_of(loop, "UGUG"), count_of(loop, "UGU"), count_of(F.substring(u, 1, 8), "UG"), num_pairs(s)
     off = F.abs(40 - stem)
     fit = F.when(off <= 3, 1.0).when(off <= 8, 0.75).when(off <= 13, 0.5).when(off <= 18, 0.25).otherwise(0.0)
     one = lambda c: F.when(c > 0, 1.0).otherwise(0.0)
@@ -139,6 +151,12 @@ def loop_motifs(seq: Column, s: Column) -> dict[str, Column]:
     }
 
 
+def near_loop(seq: Column, best: Column) -> Column:
+    u = F.translate(F.upper(seq), "T", "U")
+    a = F.greatest(best["a"] - 10, F.lit(0))
+    return F.when(best.isNotNull(), F.substring(u, a + 1, F.least(best["a"] + best["n"] + 10, F.length(u)) - a)).otherwise(u)
+
+
 def tier2_soft(seq: Column, s: Column, mfe: Column, on: bool = False) -> dict[str, Column]:
     """Soft geometry penalty: excess over four limits by scale and weight; zeros and a pass where tier 2 is off."""
     names = ("tier2_penalty", "tier2_mfe_per_nt", "tier2_loop_len", "tier2_unpaired_frac", "tier2_bulge_frac")
@@ -155,11 +173,14 @@ def tier2_soft(seq: Column, s: Column, mfe: Column, on: bool = False) -> dict[st
     return {"tier2_enabled": F.lit(1.0), "tier2_pass": F.when(penalty <= 0, 1.0).otherwise(0.0)} | dict(zip(names, values, strict=True))
 
 
-def extended(seq: Column, s: Column, mfe: Column, tier2: bool = False) -> dict[str, Column]:
-    return core(seq, s, mfe) | composition(seq, mfe) | segments(seq, s) | stems(seq, s) | bulge_features(s) | loop_motifs(seq, s) | tier2_soft(seq, s, mfe, tier2)
-
-
 def featurize(df: DataFrame, seq: str = "seq", struct: str = "struct", mfe: str = "mfe", tier2: bool = False) -> DataFrame:
-    """df with all features it does not have yet."""
-    cols = extended(F.col(seq), F.col(struct), F.col(mfe), tier2)
-    return df.select("*", *[c.alias(k) for k, c in cols.items() if k not in df.columns])
+    """df with all 86 features that it does not have yet; what several share is a column first, so it is computed once."""
+    q, s, m = F.col(seq), F.col(struct), F.col(mfe)
+    fold = F.when(F.length(s) > F.length(q), F.substring(s, F.lit(1), F.length(q))).otherwise(s)
+    x = df.withColumns({"__pairs": base_pairs(s), "__bulges": bulges(s), "__fold": fold})
+    x = x.withColumns({"__runs": stem_runs(F.col("__pairs")), "__sided": sided_bulges(F.col("__pairs"), F.col("__bulges")), "__best": largest_loop(F.col("__fold"), bulges(F.col("__fold")))})
+    x = x.withColumns({"__near": near_loop(q, F.col("__best")), **segment_parts(q, s)}).withColumns(segment_shares())
+    shares = {k: F.col(k) for k in segment_shares()}
+    cols = core(q, s, m) | composition(q, m) | shares | segment_slopes() | stems(q, F.col("__pairs"), F.col("__runs")) | bulge_features(F.col("__sided"))
+    cols |= loop_motifs(q, F.col("__fold"), F.col("__best"), F.col("__near")) | tier2_soft(q, s, m, tier2)
+    return x.select(*[df[c] for c in df.columns], *[c.alias(k) for k, c in cols.items() if k not in df.columns])

@@ -52,12 +52,12 @@ def binary_metrics(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     The running sums are over distinct scores; scores are rounded beforehand where their number must be bounded.
     """
     c = binary_counts(df)
-    n = df.agg(F.count_if(F.col("label") == 1).alias("P"), F.count_if(F.col("label") == 0).alias("N"), F.avg(F.pow(F.col("score") - F.col("label"), 2)).alias("brier"),
+    n = df.agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"), F.avg(F.pow(F.col("score") - F.col("label"), 2)).alias("brier"),
                *[F.count_if((F.col("label") == l) & ((F.col("score") >= threshold) == bool(h))).alias(k) for k, l, h in (("tn", 0, 0), ("fp", 0, 1), ("fn", 1, 0), ("tp", 1, 1))])
     x = c.withColumnsRenamed({"tp": "ctp", "fp": "cfp"}).join(F.broadcast(n))
-    auc = F.sum(F.col("q") * (F.col("ctp") - F.col("p") / 2)) / F.first(F.col("P") * F.col("N"))
-    ap = F.sum(F.col("p") / F.col("P") * F.col("ctp") / (F.col("ctp") + F.col("cfp")))
-    f1 = 2 * F.col("ctp") / (F.col("ctp") + F.col("cfp") + F.col("P"))
+    auc = F.sum(F.col("q") * (F.col("ctp") - F.col("p") / 2)) / F.first(F.col("pos") * F.col("neg"))
+    ap = F.sum(F.col("p") / F.col("pos") * F.col("ctp") / (F.col("ctp") + F.col("cfp")))
+    f1 = 2 * F.col("ctp") / (F.col("ctp") + F.col("cfp") + F.col("pos"))
     best = F.min(F.struct((-F.round(f1, 12)).alias("k"), (-F.col("score")).alias("s"))).alias("b")
     out = x.agg(auc.alias("roc_auc"), ap.alias("avg_precision"), best, *[F.first(k).alias(k) for k in ("brier", "tn", "fp", "fn", "tp")])
     return out.select("tn", "fp", "fn", "tp", ((F.col("tn") + F.col("tp")) / (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp"))).alias("accuracy"), "roc_auc", "avg_precision", "brier", (-F.col("b.s")).alias("best_threshold"))

@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
 # Reads, islands, coverage and peaks.
 
 
-@query("w1_islands", f"WITH {v.READS}, {v.ISLANDS}, lib AS (SELECT count(*) AS lib_size FROM reads) SELECT chrom, strand, island_start, max(end0) AS island_end, count(*) AS depth, count(DISTINCT start0) AS n_starts, lib_size, count(*) / lib_size * 1e6 AS cpm FROM placed, lib GROUP BY ALL HAVING count(*) >= 5 AND count(*) / lib_size * 1e6 >= 0.5")
+@query("w1_islands", f"WITH {v.READS}, {v.ISLANDS}, lib AS (SELECT count(*) AS lib_size FROM reads) SELECT *, depth / lib_size * 1e6 AS cpm FROM (SELECT chrom, strand, island_start, max(end0) AS island_end, count(*) AS depth, count(DISTINCT start0) AS n_starts FROM placed GROUP BY ALL), lib WHERE depth >= 5 AND depth / lib_size * 1e6 >= 0.5")
 def w1_islands(spark, d):
     r = v.reads(spark, d)
     return islands.depth_gate(islands.islands(r), r)
@@ -285,9 +285,32 @@ def f9_composition(spark, d):
     return v.folded(spark, d).select("id", *[c.alias(k) for k, c in ft.composition(F.col("seq"), F.col("mfe")).items()])
 
 
-@query("f9_extended_features")
-def f9_extended_features(spark, d):
-    return ft.featurize(v.folded(spark, d), tier2=True)
+def _staged(spark, d):
+    x = v.folded(spark, d).withColumns({"pairs": st.base_pairs(F.col("struct")), "bulges": st.bulges(F.col("struct"))})
+    x = x.withColumns({"runs": st.stem_runs(F.col("pairs")), "sided": ft.sided_bulges(F.col("pairs"), F.col("bulges")), "best": ft.largest_loop(F.col("struct"), F.col("bulges"))})
+    return x.withColumn("near", ft.near_loop(F.col("seq"), F.col("best")))
+
+
+@query("f10_segments")
+def f10_segments(spark, d):
+    x = v.folded(spark, d)
+    x = x.withColumns(ft.segment_parts(F.col("seq"), F.col("struct"))).withColumns(ft.segment_shares())
+    return x.select("id", *ft.segment_shares(), *[c.alias(k) for k, c in ft.segment_slopes().items()])
+
+
+@query("f13_f14_stems")
+def f13_f14_stems(spark, d):
+    return _staged(spark, d).select("id", *[c.alias(k) for k, c in ft.stems(F.col("seq"), F.col("pairs"), F.col("runs")).items()])
+
+
+@query("f16_bulges")
+def f16_bulges(spark, d):
+    return _staged(spark, d).select("id", *[c.alias(k) for k, c in ft.bulge_features(F.col("sided")).items()])
+
+
+@query("f17_loop_motifs")
+def f17_loop_motifs(spark, d):
+    return _staged(spark, d).select("id", *[c.alias(k) for k, c in ft.loop_motifs(F.col("seq"), F.col("struct"), F.col("best"), F.col("near")).items()])
 
 
 @query("p12_tier1_gate", CORE_SQL + " SELECT id, length(seq) BETWEEN 40 AND 120 AND p >= 18 AND mfe <= -15 AND (length(struct) - length(replace(struct, '.', ''))) / greatest(length(struct), 1) <= 0.8 AS passes FROM c")
