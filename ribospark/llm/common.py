@@ -45,7 +45,7 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write df as a table in the shared folder and read it back; cuts the lineage for good."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     release(spark)
     return spark.read.schema(df.schema).parquet(path), path
 

@@ -236,20 +236,19 @@ SPANS = "w binary, spans array<struct<a:int,b:int,lo:bigint>>"
 
 def window_spans(distinct: DataFrame) -> DataFrame:
     """(w, spans) of the distinct windows (h, w, lo, hi): repeats' spans, from suffix arrays or, for hot anchors, by counting."""
-    sizes, _ = materialize(distinct.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "anchors")
-    total = sizes.agg(F.sum(F.when(F.col("m") <= HOT, F.col("m")))).first()[0] or 0
-    buckets = max(partitions(distinct.sparkSession), -(-total // BUCKET))
-    with_m = distinct.join(sizes, "h", "left").withColumn("m", F.coalesce("m", F.lit(1)))
-    long = F.length("w") >= LENGTH
-    # A window that is its anchor's only one is a repeat of itself if it has two doc_ids.
-    alone = with_m.where(F.expr("m = 1 AND lo < hi") & long).select("w", F.array(F.struct(F.lit(0).alias("a"), F.length("w").alias("b"), "lo")).alias("spans"))
-    some = with_m.where((F.col("m") > 1) & (F.col("m") <= HOT)).withColumn("bucket", F.pmod(F.col("h"), F.lit(buckets)))
-    found = some.select("bucket", "w", "lo", "hi").groupBy("bucket").applyInArrow(_bucket_spans, SPANS)
-    hot = with_m.where((F.col("m") > HOT) & long)
+    sizes = distinct.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > HOT)
+    # At most one row for every HOT windows: a table of a few rows, broadcast to both sides below.
+    hot_h, _ = materialize(sizes.select("h"), "hot")
+    buckets = max(partitions(distinct.sparkSession), -(-distinct.count() // BUCKET))
+    few = hot_h.count() <= MAX_BROADCAST_IDS
+    side = F.broadcast(hot_h) if few else hot_h
+    some = distinct.join(side, "h", "left_anti").select(F.pmod(F.col("h"), F.lit(buckets)).alias("bucket"), "w", "lo", "hi")
+    found = some.groupBy("bucket").applyInArrow(_bucket_spans, SPANS)
+    hot = distinct.join(side, "h", "left_semi").where(F.length("w") >= LENGTH)
     grams = hot.select("w", "lo", "hi", F.posexplode(F.transform(F.sequence(F.lit(1), F.length("w") - (LENGTH - 1)), lambda i: F.substring(F.col("w"), i, F.lit(LENGTH)))).alias("a", "g"))
     least = grams.groupBy("g").agg(F.min("lo").alias("least"))
     rest = grams.join(least, "g").where("hi > least").groupBy("w").agg(F.collect_list(F.struct("a", (F.col("a") + LENGTH).alias("b"), F.col("least").alias("lo"))).alias("spans"))
-    return alone.unionByName(found).unionByName(rest)
+    return found.unionByName(rest)
 
 
 #: What dedup_bytes adds.
