@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, jaccard_join, packing, pitman_yor, quality_classifier, quality_rules, suffix_dedup, token_store, url_filters
+from . import embedding_dedup, jaccard_join, packing, pitman_yor, quality_classifier, quality_rules, sentencepiece_lattice, suffix_dedup, token_store, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_lm_scoring": pitman_yor.op6_lm_scoring,
     "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op9_sentencepiece": sentencepiece_lattice.op9_sentencepiece,
     "op10_suffix_array_dedup": suffix_dedup.op10_suffix_array_dedup,
 }
 ORACLES = {
