@@ -44,7 +44,7 @@ def base_pairs(s: Column) -> Column:
 
     def step(a: Column, x: Column) -> Column:
         depth = F.size(a["open"])
-        popped = F.struct(F.slice(a["open"], F.lit(1), F.greatest(depth - 1, F.lit(0))).alias("open"), F.concat(a["pairs"], F.array(F.struct(F.element_at(a["open"], -1).alias("i"), x["i"].alias("j")))).alias("pairs"))
+        popped = F.struct(F.slice(a["open"], F.lit(1), F.greatest(depth - 1, F.lit(0))).alias("open"), F.concat(a["pairs"], F.array(F.struct(F.try_element_at(a["open"], F.lit(-1)).alias("i"), x["i"].alias("j")))).alias("pairs"))
         pushed = F.struct(F.concat(a["open"], F.array(x["i"])).alias("open"), a["pairs"].alias("pairs"))
         return F.when(x["c"] == "(", pushed).when((x["c"] == ")") & (depth > 0), popped).otherwise(a)
 
@@ -57,7 +57,7 @@ def stem_runs(pairs: Column) -> Column:
     none = F.array().cast("array<struct<start_i:int,start_j:int,length:int>>")
 
     def step(a: Column, p: Column) -> Column:
-        last = F.element_at(a, -1)
+        last = F.try_element_at(a, F.lit(-1))
         joins = (F.size(a) > 0) & (p["i"] == last["start_i"] + last["length"]) & (p["j"] == last["start_j"] - last["length"])
         longer = F.struct(last["start_i"].alias("start_i"), last["start_j"].alias("start_j"), (last["length"] + 1).alias("length"))
         new = F.struct(p["i"].alias("start_i"), p["j"].alias("start_j"), F.lit(1).alias("length"))
@@ -101,7 +101,7 @@ def bulges(s: Column) -> Column:
     none = F.array().cast("array<struct<start:int,end:int,length:int>>")
 
     def step(a: Column, p: Column) -> Column:
-        last = F.element_at(a, -1)
+        last = F.try_element_at(a, F.lit(-1))
         joined = F.struct(last["start"].alias("start"), (p + 1).alias("end"), (last["length"] + 1).alias("length"))
         return F.when((F.size(a) > 0) & (last["end"] == p), F.concat(F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(a, F.array(F.struct(p.alias("start"), (p + 1).alias("end"), F.lit(1).alias("length")))))
 

@@ -125,7 +125,7 @@ def height_nms(pk: DataFrame, distance: int = 35, by: tuple[str, ...] = (*KEY, "
 
 def merge_close(pk: DataFrame, least: int = 8, by: tuple[str, ...] = (*KEY, "island_start")) -> DataFrame:
     """Ascending; a peak goes if it lies within least of the last one kept."""
-    fold = lambda a, p: F.when(F.element_at(a, -1) >= p - least, a).otherwise(F.concat(a, F.array(p)))
+    fold = lambda a, p: F.when(F.try_element_at(a, F.lit(-1)) >= p - least, a).otherwise(F.concat(a, F.array(p)))
     ps = F.array_sort(F.collect_list("pos"))
     kept = F.aggregate(F.slice("ps", 2, F.greatest(F.size("ps") - 1, F.lit(1))), F.slice("ps", 1, 1), fold)
     return pk.groupBy(*by).agg(ps.alias("ps")).select(*by, F.explode(kept).alias("pos"))

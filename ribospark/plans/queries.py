@@ -446,3 +446,14 @@ def a25_reference_thresholds(spark, d):
 @query("v11_probability_checks", f"WITH {v.LABELLED}, b AS (SELECT round(score, 4) AS s, count(*) AS n, count(*) FILTER (score < 0 OR score > 1) AS bad FROM labelled GROUP BY ALL) SELECT sum(bad)::BIGINT AS out_of_range, count(*) AS n_distinct, max(n) / sum(n) AS top_share, count(*) < 5 AS too_few, max(n) / sum(n) > 0.9 AS concentrated FROM b")
 def v11_probability_checks(spark, d):
     return stats.probability_checks(v.labelled(spark, d))
+
+
+@query("stream_event_sessions", """WITH e AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e)
+SELECT user_id, count(*) AS n, round(sum(value), 6) AS total, epoch_us(min(ts)) AS start_us, epoch_us(max(ts) + INTERVAL 30 MINUTE) AS end_us FROM s GROUP BY user_id, k""")
+def stream_event_sessions(spark, d):
+    from ribospark.streaming.sessions import event_sessions
+
+    x = event_sessions(v.load(spark, d, "events"))
+    us = lambda c: F.unix_micros(F.col(c).cast("timestamp")).alias(f"{c}_us")
+    return x.select("user_id", "n", F.round("total", 6).alias("total"), us("start"), us("end"))
