@@ -15,7 +15,7 @@ import re
 import numpy as np
 
 #: Words in a worker's cache; when full it starts anew.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 600_000
 
 
 #: White space by Unicode, and the separators that some engines count as such; a cut next to any is left out.
