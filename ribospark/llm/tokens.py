@@ -13,9 +13,13 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Words in a worker's cache; when full it starts anew.
+#: Words in a worker's cache; when full, it loses those that came in one call only.
 CACHE_WORDS = 600_000
+#: Unseen words that are encoded in one run.
+RUN_WORDS = 2_000
 
 
 #: White space by Unicode, and the separators that some engines count as such; a cut next to any is left out.
@@ -50,42 +54,71 @@ class CachedEncoder:
         self.spaces = spaces
         self.batch = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)  # without offsets, where offered
         self.cache: dict[str, bytes] = {}
+        self.again: set[str] = set()  # words of the cache that a later call asked for
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.batch(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _pieces(self, text: str) -> list[str] | None:
-        """Pieces whose ids add up to the text's, each without its leading blank; None if it can't be cut."""
-        if any(s in text for s in self.special):
-            return None
-        if self.spaces == "drop":
-            return text.replace("\n", " ").split(" ")
-        return None if _odd_blanks(text) else text.split(" ")
+    def _cuttable(self, text: str) -> bool:
+        """Whether the ids of the text's words, one after another, are its ids."""
+        return not any(s in text for s in self.special) and (self.spaces == "drop" or not _odd_blanks(text))
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """ids of unseen words (in "lead" each after a blank), encoded many at a time and dealt by their ends."""
+        out = []
+        for i in range(0, len(words), RUN_WORDS):
+            part = words[i : i + RUN_WORDS]
+            e = self.tok.encode(" " + " ".join(part), add_special_tokens=False)
+            ids = np.array(e.ids, "<u4")
+            ends = np.fromiter((x for _, x in e.offsets), np.int64, len(ids))
+            edges = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+            cuts = np.searchsorted(ends, edges, side="right") * 4
+            raw, last = ids.tobytes(), 0
+            for c in cuts.tolist():
+                out.append(raw[last:c])
+                last = c
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cuts = [self._pieces(t) for t in texts]
-        lead = self.spaces == "lead"
-        used: set[str] = set()
-        for c in cuts:
-            if c is not None:
-                used.update(c[1:] if lead else c)
-        new = [w for w in used if w not in self.cache]
+        lead, out = self.spaces == "lead", [b""] * len(texts)
+        whole = [i for i, t in enumerate(texts) if not self._cuttable(t)]
+        if whole:
+            for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
+                out[i] = ids
+        skip = set(whole)
+        cut = [i for i in range(len(texts)) if i not in skip]
+        if not cut:
+            return out
+        if lead:  # the first word has no blank before it
+            heads = self._whole([texts[i].split(" ", 1)[0] for i in cut])
+            tails = [texts[i].partition(" ")[2] for i in cut]
+        else:
+            tails = [texts[i].replace("\n", " ") for i in cut]
+        lists = pc.split_pattern(pa.array(tails, pa.large_string()), " ")
+        coded = pc.dictionary_encode(lists.flatten())
+        used, code, ends = coded.dictionary.to_pylist(), coded.indices.to_numpy(), lists.offsets.to_numpy()
+        new = [w for w in used if w and w not in self.cache]
+        self.again.update(used)
+        self.again.difference_update(new)
         if new:
-            if len(self.cache) + len(new) > CACHE_WORDS:  # the words of these texts stay
-                self.cache = {w: self.cache[w] for w in used if w in self.cache}
-            self.cache.update(zip(new, self._whole([" " + w for w in new] if lead else new), strict=True))
-        rest = [i for i, c in enumerate(cuts) if c is None]
-        whole = dict(zip(rest, self._whole([texts[i] for i in rest]), strict=True)) if rest else {}
-        heads = iter(self._whole([c[0] for c in cuts if c is not None]) if lead else ())
-        get, out = self.cache.__getitem__, []
-        for i, c in enumerate(cuts):
-            if c is None:
-                out.append(whole[i])
-            elif lead:
-                out.append(next(heads) + b"".join(map(get, c[1:])))
-            else:
-                out.append(b"".join(map(get, c)))
+            if len(self.cache) + len(new) > CACHE_WORDS:  # words that came again stay, or those of these texts alone
+                if len(self.again) + len(new) > CACHE_WORDS * 3 // 4:
+                    self.again = set(used) - set(new)
+                self.cache = {w: self.cache[w] for w in self.again if w}
+            self.cache.update(zip(new, self._words(new), strict=True))
+        ids = [self.cache[w] if w else b"" for w in used]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        n = sizes[code]
+        at = np.concatenate(([0], np.cumsum(n)))
+        where = np.repeat(starts[code] - at[:-1], n)
+        where += np.arange(at[-1])
+        raw = flat.take(where).tobytes()
+        edges = (at[ends] * 4).tolist()
+        for j, i in enumerate(cut):
+            body = raw[edges[j] : edges[j + 1]]
+            out[i] = heads[j] + body if lead else body
         return out
 
 
@@ -97,9 +130,6 @@ def encoder(path: str, spaces: str) -> CachedEncoder:
 
 def slices(batch, size: int = 3_000_000):
     """(start, batch) parts of an Arrow batch with a text column, of about size bytes of text each."""
-    import numpy as np
-    import pyarrow.compute as pc
-
     n = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0)).astype(np.int64)
     part = np.cumsum(n) // size
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(n)] if len(n) else [0]
