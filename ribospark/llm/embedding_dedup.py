@@ -2,19 +2,24 @@
 
 1. *Codes.* From a sample of at most about SAMPLE vectors, unit vectors are centred and an orthogonal
    rotation is learned by iterative quantisation (Gong and Lazebnik 2011): signs and the rotation that fits
-   them best take turns, which balances the bits. ROTATIONS rotations from different starts give as many
-   codes of ``dim`` bits.
+   them best take turns, which balances the bits. Rotations from different starts give as many codes of
+   ``dim`` bits.
 2. *Tables.* A code is cut into bands; vectors that agree on a band are candidates (multi-index hashing:
    codes within a distance below the number of bands agree on one of them). Band widths grow with log2 of
-   the rows, so a bucket's expected size does not grow with the input.
+   the rows, so a bucket's expected size does not grow with the input. Wider bands are shared less often, so
+   rotations (ROTATIONS at least) are added until partners made at the least cosine, in random directions and
+   in those of the data, share a band with the sampled vectors in RECALL of the cases. Where learned rotations
+   don't get there, random ones about the origin are added, whose chance to share a band depends on the angle
+   alone. Keys per vector grow with about the 0.22th power of the rows at cosine 0.9.
 3. *Large buckets.* A bucket above BUCKET rows is cut by the vectors themselves: it is sorted along its
    first principal direction, and by the Cauchy-Schwarz bound only neighbours within sqrt(2 - 2 * least)
    there can link; blocks of that sorted list meet blocks in reach. No row is dropped.
 4. *Rerank.* Candidates are compared by cosine in double precision; equal vectors are one class from the
    start, so copies never meet pair by pair.
 
-Recall rests on the codes; it is measured against brute force in the tests (at least 0.9; 0.99 and more on
-the given tables), and no pair below the threshold is ever linked.
+Recall rests on the codes; it is measured against brute force in the tests (at least 0.9, with the bands of
+small tables and of 10 million rows; 0.99 and more on the given tables), and no pair below the threshold is
+ever linked.
 
 Edge cases: vectors that are null, zero, of another length than most, or hold nulls or non-finite
 components have no links and are their own component; repeated vec_ids are one vector each of which links
@@ -32,7 +37,11 @@ from .common import connected_components, materialize, table
 
 LEAST = 0.9
 SAMPLE = 20_000
+#: Rotations, at least.
 ROTATIONS = 4
+#: Expected share of the pairs at the least cosine that share a band.
+RECALL = 0.95
+PROBES = 2000
 BUCKET = 500
 BUNDLE = 20_000
 
@@ -53,17 +62,46 @@ def band_widths(rows: int, dim: int) -> list[tuple[int, int]]:
     return [(a, min(a + width, dim)) for a in range(0, dim - width // 2, width)]
 
 
-def band_codes(x: np.ndarray, mean: np.ndarray, rotations: list[np.ndarray], bands: list[tuple[int, int]]) -> np.ndarray:
-    """One 64-bit key per vector, rotation and band."""
+def band_codes(x: np.ndarray, turns: list[tuple[np.ndarray, np.ndarray]], bands: list[tuple[int, int]]) -> np.ndarray:
+    """One 64-bit key per vector, rotation (with the point it turns about) and band."""
     out = []
-    for i, r in enumerate(rotations):
-        bits = (x - mean) @ r >= 0
+    for i, (r, centre) in enumerate(turns):
+        bits = (x - centre) @ r >= 0
         for j, (a, b) in enumerate(bands):
             word = bits[:, a:b] @ (1 << np.arange(b - a, dtype=np.int64))
             out.append(word | np.int64((i * len(bands) + j) << 48))
     return np.stack(out, 1)
 
 
+def partners(u: np.ndarray, least: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(vectors, their partners at cosine least) of unit vectors u: in random directions, and towards others of u."""
+    rng = np.random.default_rng(11)
+    out = []
+    for to in (rng.normal(size=u.shape), u[rng.permutation(len(u))]):
+        off = to - (to * u).sum(1, keepdims=True) * u
+        size = np.linalg.norm(off, axis=1, keepdims=True)
+        on = size[:, 0] > 1e-6
+        out.append((u[on], least * u[on] + np.sqrt(1 - least * least) * off[on] / size[on]))
+    return [p for p in out if len(p[0])]
+
+
+def learn_turns(u: np.ndarray, bands: list[tuple[int, int]], least: float, rotations: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Rotations, each with the point it turns about, under which RECALL of the pairs at cosine least share a band."""
+    mean = u.mean(0)
+    pairs = partners(np.random.default_rng(10).permutation(u)[:PROBES], least)
+    met = [np.zeros(len(x), bool) for x, _ in pairs]
+    share = (1 - np.arccos(min(max(least, -1.0), 1.0)) / np.pi) ** max(b - a for a, b in bands)
+    need = int(np.ceil(np.log(1 - RECALL) / np.log1p(-min(share, 0.999)) / len(bands)))
+    turns = []
+    while len(turns) < rotations or (any(m.mean() < RECALL for m in met) and len(turns) < 2 * need):
+        turns.append((learn_rotation(u - mean, len(turns)), mean))
+        for m, (x, y) in zip(met, pairs, strict=True):
+            m |= (band_codes(x, turns[-1:], bands) == band_codes(y, turns[-1:], bands)).any(1)
+    if any(m.mean() < RECALL for m in met):
+        turns += [(learn_rotation(u, seed, 0), np.zeros(u.shape[1])) for seed in range(len(turns), len(turns) + need)]
+    return turns
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -150,15 +188,14 @@ def near_pairs(vectors: DataFrame, least: float = LEAST, rotations: int = ROTATI
     part = vectors.where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1_000_000)) < int(np.ceil(1_000_000 * share)))
     got = np.array([r["x"] for r in part.orderBy("id").select("x").limit(2 * sample).collect()] or [vectors.first()["x"]])
     u = unit(got)
-    mean = u.mean(0)
-    turns = [learn_rotation(u - mean, seed) for seed in range(rotations)]
     bands = band_widths(rows, u.shape[1])
+    turns = learn_turns(u, bands, least, rotations)
 
     def keys(it):
         for b in it:
             lists = b.column("x")
             x = unit(lists.flatten().to_numpy().reshape(len(lists), -1).astype(np.float64))
-            k = band_codes(x, mean, turns, bands)
+            k = band_codes(x, turns, bands)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(k) + 1, dtype=np.int32) * k.shape[1]), pa.array(k.reshape(-1)))
             yield pa.RecordBatch.from_arrays([b.column("id"), lists], ["id", "ks"])
 
@@ -169,7 +206,7 @@ def near_pairs(vectors: DataFrame, least: float = LEAST, rotations: int = ROTATI
     once = sizes.where("m > 1").groupBy("m", "s1", "s2").agg(F.min("k").alias("k"))
     cells = coded.join(once, "k")
     # Small buckets go to tasks in bundles of about BUNDLE rows.
-    bundles = max(1, -(-(rows * len(bands) * rotations) // BUNDLE))
+    bundles = max(1, -(-(rows * len(bands) * len(turns)) // BUNDLE))
     few = cells.where(F.col("m") <= BUCKET).withColumn("g", F.pmod(F.xxhash64("k"), F.lit(bundles)))
     near = few.select("id", "k", "g").join(vectors, "id").groupBy("g").applyInArrow(_small(least), "a long, b long")
     # A bucket above BUCKET rows is compared as pairs of its parts, each in its own task.

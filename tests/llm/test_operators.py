@@ -174,6 +174,20 @@ def test_embeddings_against_brute_force(spark):
     assert [got[i] for i in (900, 901, 902, 903)] == [0, 0, 0, 0]
 
 
+def test_embedding_recall_with_the_bands_of_a_large_table(spark, monkeypatch):
+    wide = embedding_dedup.band_widths(10_000_000, 64)
+    monkeypatch.setattr(embedding_dedup, "band_widths", lambda rows, dim: wide)
+    rng = np.random.default_rng(7)
+    x = embedding_dedup.unit(rng.normal(size=(400, 64)))
+    off = rng.normal(size=x.shape)
+    off = embedding_dedup.unit(off - (off * x).sum(1, keepdims=True) * x)
+    c = np.linspace(0.9001, 0.92, len(x))[:, None]
+    both = np.concatenate((x, c * x + np.sqrt(1 - c * c) * off))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(both)], "id long, x array<double>")
+    got = {(r.a, r.b) for r in embedding_dedup.near_pairs(df).collect()}
+    assert got <= {(i, i + 400) for i in range(400)} and len(got) >= 0.9 * 400
+
+
 def test_classifier_separates_held_out_texts(spark, sf):
     s = quality_classifier.op5_quality_classifier(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").toPandas()
     p, n = s[s.quality == 1].score.to_numpy(), s[s.quality == 0].score.to_numpy()
