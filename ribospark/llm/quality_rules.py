@@ -5,6 +5,10 @@ set if rule b fails. A policy is a version and the set of its rules: a document
 ``fail_bits & mask = 0``. Ablations (what each rule rejects, what it alone rejects, what a policy without
 it would keep) come from bitwise aggregates over the ledger, without reading a text again.
 
+Distinct words: policy v1, and the SQL that it is compared with, reads the first 200 words only
+(``few_distinct_words``). Policy v2, which the pipeline uses, puts ``few_distinct_words_anywhere`` in its
+place: the same share, over the mean of all consecutive windows of 200 words; up to 200 words both agree.
+
 Native: DataFrame and SQL functions only. All work on a text stays in its row (arrays of its words,
 window hashes sorted in place), so no group meets in a task and nothing is shuffled; memory follows the
 longest text.
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 from .common import WORD
 
 WINDOW = 8
+PART = 200
 
 
 @dataclass(frozen=True)
@@ -47,6 +52,8 @@ RULES: tuple[QualityRule, ...] = (
     QualityRule(6, "shouting", "100 * n_marks > 20 * n_words"),
     QualityRule(7, "few_distinct_words", "n_words >= 40 AND 100 * n_distinct_words < 22 * least(n_words, 200)"),
 )
+#: The rules of policies without an SQL form have bits of their own.
+WHOLE_RULES = (*RULES, QualityRule(8, "few_distinct_words_anywhere", "n_words >= 40 AND 100 * n_part_words < 22 * n_words"))
 BASE_BITS = 0b11
 
 
@@ -63,6 +70,7 @@ class Policy:
 POLICIES = {
     "base": Policy("base", ("too_few_words", "repeated_windows")),
     "v1": Policy("v1", tuple(r.name for r in RULES)),
+    "v2": Policy("v2", tuple(r.name for r in WHOLE_RULES if r.name != "few_distinct_words")),
 }
 
 
@@ -112,6 +120,12 @@ def _repeat_words(hashes: Column) -> Column:
     return let(_windows(hashes), of_windows)
 
 
+def _part_words(hashes: Column) -> Column:
+    """Distinct words of each of the consecutive parts of PART words, added up."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(hashes), F.lit(1)), F.lit(PART))
+    return F.aggregate(starts, F.lit(0), lambda n, i: n + F.size(F.array_distinct(F.slice(hashes, i, PART))))
+
+
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with the measurements of RULES."""
     t = F.coalesce(F.col(text), F.lit(""))
@@ -128,6 +142,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_lines": F.size("__l").cast("long"),
             "n_marks": (F.size("__m") - F.col("__s")).cast("long"),
             "n_distinct_words": F.size(F.array_distinct(F.slice("__h", 1, 200))).cast("long"),
+            "n_part_words": _part_words(F.col("__h")).cast("long"),
         }
     ).drop("__w", "__l", "__m", "__h", "__s")
 
@@ -169,9 +184,10 @@ def ablations(led: DataFrame, policy: Policy, rules: Sequence[QualityRule] = RUL
 
 
 def quality_ledger(docs: DataFrame, policy: str = "v1") -> DataFrame:
-    led = ledger(docs)
+    rules = WHOLE_RULES if policy == "v2" else RULES
+    led = ledger(docs, rules)
     led = led.withColumn("base_failed", F.col("fail_bits").bitwiseAND(F.lit(BASE_BITS).cast("long")) != 0)
-    return apply_policy(led, POLICIES[policy])
+    return apply_policy(led, POLICIES[policy], rules)
 
 
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ribospark.llm import embedding_dedup, jaccard_join, packing, pitman_yor, quality_classifier, quality_rules, suffix_dedup, token_store, url_filters, wavelet
 from ribospark.llm.common import connected_components
 from ribospark.llm.tokens import CachedEncoder, tokenizer_path
@@ -53,6 +54,19 @@ def test_ledger(docs, spark):
     assert {r.rule for r in rows} == {r.name for r in quality_rules.RULES}
 
 
+def test_distinct_words_of_whole_texts(spark):
+    rng = np.random.default_rng(5)
+    fine = lambda n: [f"word{i}" for i in rng.integers(0, 5000, n)]
+    poor = lambda n: [f"poor{i}" for i in rng.integers(0, 12, n)]
+    words = [fine(200) + poor(4000), poor(200) + fine(4000), fine(150), poor(150), fine(4000), poor(4000)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], "doc_id long, text string")
+    parts = [sum(len(set(w[i : i + 200])) for i in range(0, len(w), 200)) for w in words]
+    led = quality_rules.quality_ledger(df, "v2").orderBy("doc_id").collect()
+    assert [r.n_part_words for r in led] == parts
+    assert [bool(r.fail_bits & 256) for r in led] == [100 * p < 22 * len(w) for p, w in zip(parts, words)]
+    assert [r.doc_id for r in corpus_pipeline.quality_rules_stage(spark, df, "").orderBy("doc_id").collect()] == [1, 2, 4]
+
+
 def test_ablation_of_empty_table(docs):
     assert quality_rules.quality_ledger(docs.limit(0)).count() == 0
 
