@@ -28,7 +28,7 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the document with the least doc_id."""
-    members, _ = jaccard_join.jaccard_join(docs)
+    members, _ = jaccard_join.jaccard_join(docs, all_links=False)
     copies = members.where("doc_id <> component_id").select("doc_id")
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
 

@@ -20,8 +20,12 @@ Two documents link when their sets of distinct 5-word shingles have a similarity
    pairs that the triangle inequality rules out: ``|d(x,p) - d(y,p)| > 1/4`` for the region's pivot p.
 
 Any pair that is left out is either not similar or already connected through links that were found, so
-components are exact. The links returned are a spanning subset inside large regions and all links in small
-ones.
+components are exact, and a spanning subset of the links of large regions is known.
+
+5. *All links.* Unless only components are asked for (``all_links=False``, as in the query and the pipeline,
+   which read nothing else), the members of each large region are then compared in blocks of BLOCK by BLOCK,
+   each pair in the largest region that both are in; documents whose pairs all belong to larger regions
+   don't travel. So the links returned are whole.
 
 Edge cases: a null or wordless text has an empty set and links with nothing; with fewer than 5 words the
 whole sequence is the only shingle; rows with the same doc_id are one document with all their texts'
@@ -43,6 +47,8 @@ NGRAM = 5
 SMALL = 8
 #: Hash ranges of the boundary test, at least.
 MIN_RANGES = 32
+#: Members of a large region that are compared with as many others in one task.
+BLOCK = 256
 SPLITS = 2
 PIVOTS = 4
 #: doc_ids that are broadcast to filter texts (8 bytes each); more are joined by a shuffle.
@@ -195,11 +201,75 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def jaccard_join(docs: DataFrame, n: int = NGRAM) -> tuple[DataFrame, DataFrame]:
+def _lists(t: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Dense numbers of a list column's values, and the ends of its rows after a 0."""
+    lists = t.column(name).combine_chunks()
+    flat = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    return flat, np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy()))).astype(np.int64)
+
+
+def _common(flat: np.ndarray, ends: np.ndarray, row: int, size: int) -> np.ndarray:
+    """How many values of one row each row holds; size is above all values."""
+    own = np.zeros(size, bool)
+    own[flat[ends[row] : ends[row + 1]]] = True
+    return np.diff(np.concatenate(([0], np.cumsum(own[flat])))[ends])
+
+
+def _first_here(t: pa.Table):
+    """(row, rows that it meets in no larger region) of a block's table."""
+    ids, part = t.column("doc_id").to_numpy(), t.column("part").to_numpy()
+    i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+    flat, ends = _lists(t, "before")
+    for a in np.flatnonzero(part == i):
+        on = (part == j) & ((ids > ids[a]) if i == j else True)
+        yield a, on & (_common(flat, ends, a, len(flat) + 1) == 0)
+
+
+def _needed(t: pa.Table) -> pa.Table:
+    """The rows of a block that have a pair to compare."""
+    need = np.zeros(len(t), bool)
+    for a, on in _first_here(t):
+        need |= on
+        need[a] |= on.any()
+    return t.filter(pa.array(need))
+
+
+def _block_links(t: pa.Table) -> pa.Table:
+    """The links of a block."""
+    ids = t.column("doc_id").to_numpy()
+    flat, ends = _lists(t, "sh")
+    n = np.diff(ends)
+    out = [np.empty((0, 5), np.int64)]
+    for a, on in _first_here(t):
+        if not on.any():
+            continue
+        inter = _common(flat, ends, a, len(flat) + 1)
+        b = np.flatnonzero(on & (100 * inter >= 75 * (n[a] + n - inter)))
+        lo = ids[b] > ids[a]
+        cols = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]), inter[b], np.where(lo, n[a], n[b]), np.where(lo, n[b], n[a])
+        out.append(np.stack(cols, 1))
+    return pa.Table.from_arrays([pa.array(c) for c in np.concatenate(out).T], ["a", "b", "inter", "na", "nb"])
+
+
+def _links_of_large(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """All links (a, b, inter, na, nb) between members of large regions (s, doc_id, m)."""
+    of = large.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("m")).alias("m"), "s"))).alias("rs"))
+    parts = F.ceil(F.col("m") / BLOCK).cast("int")
+    x = large.select("s", "doc_id", parts.alias("parts"), F.pmod(F.xxhash64("doc_id", F.lit(9)), parts).cast("int").alias("part")).join(of, "doc_id")
+    x = x.withColumn("before", F.expr("slice(rs.s, 1, cast(array_position(rs.s, s) as int) - 1)"))
+    other = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j")))
+    x = x.withColumn("p", F.explode(other)).select("s", "p.i", "p.j", "part", "doc_id", "before")
+    x, _ = materialize(x.groupBy("s", "i", "j").applyInArrow(_needed, x.schema), "blocks")
+    x = x.join(sets.select("doc_id", "sh"), "doc_id")
+    return x.groupBy("s", "i", "j").applyInArrow(_block_links, "a long, b long, inter long, na long, nb long")
+
+
+def jaccard_join(docs: DataFrame, n: int = NGRAM, all_links: bool = True) -> tuple[DataFrame, DataFrame]:
     """(members, links) of docs (doc_id, text).
 
-    members: doc_id, n_shingles, rep (least doc_id with the same set; null if it can't link), component_id.
-    links: a, b, inter, na, nb between class representatives: all in small regions, in large ones enough
+    members: doc_id, n_shingles, rep (least doc_id with the same set; null if it can't link), component_id, and
+    with all_links n_links (other documents that link with it; those of equal sets too).
+    links: a, b, inter, na, nb between class representatives; without all_links, in large regions only enough
     to connect whatever links.
     """
     spark = docs.sparkSession
@@ -265,11 +335,19 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM) -> tuple[DataFrame, DataFrame]
     label, _ = materialize(connected_components(links.select("a", "b")), "labels")
     of = members.join(label.withColumnRenamed("id", "rep"), "rep", "left").groupBy("doc_id").agg(F.min("rep").alias("rep"), F.min(F.coalesce("component", "rep")).alias("c"))
     out = sized.join(of, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), "rep", F.coalesce("c", "doc_id").alias("component_id"))
-    return out, links
+    if not all_links:
+        return out, links
+    links, _ = materialize(links.unionAll(_links_of_large(large, sets)).distinct(), "links")
+    copies = members.groupBy("rep").agg(F.countDistinct("doc_id").alias("copies"))
+    both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.join(copies.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("copies").alias("near"))
+    count = copies.join(near, "rep", "left").select("rep", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("k"))
+    count = members.join(count, "rep").groupBy("doc_id").agg(F.max("k").alias("k"))
+    return out.join(count, "doc_id", "left").withColumn("n_links", F.coalesce("k", F.lit(0)).cast("long")).drop("k"), links
 
 
 def op7_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    members, _ = jaccard_join(table(spark, sf_dir, "documents"))
+    members, _ = jaccard_join(table(spark, sf_dir, "documents"), all_links=False)
     return members.select("doc_id", "n_shingles", "component_id")
 
 

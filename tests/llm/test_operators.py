@@ -88,6 +88,28 @@ def test_jaccard_against_brute_force(docs):
     assert got == {i: (len(sets[i]), comp[i]) for i in sets}
 
 
+@pytest.mark.parametrize("block", [256, 7])
+def test_jaccard_links_of_large_groups_are_whole(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    rng = np.random.default_rng(4)
+    texts = []
+    for g in range(2):
+        base = [f"g{g}w{i}" for i in range(150)]
+        for i in range(25):
+            w = list(base)
+            for at in rng.integers(0, 150, rng.integers(1, 5)):
+                w[at] = f"own{g}x{i}x{at}"
+            texts.append(" ".join(w))
+    texts += texts[:2] + ["nothing like the others at all here"]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    want = {(a, b): len(sets[a] & sets[b]) for a in range(len(sets)) for b in range(a + 1, len(sets)) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    members, links = jaccard_join.jaccard_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = links.collect()
+    assert len(got) == len({(r.a, r.b) for r in got}) and all((r.na, r.nb) == (len(sets[r.a]), len(sets[r.b])) for r in got)
+    assert {(r.a, r.b): r.inter for r in got} == {k: v for k, v in want.items() if k[1] < 50}
+    assert {r.doc_id: r.n_links for r in members.collect()} == {i: sum(i in k for k in want) for i in range(len(texts))}
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(50, 40), (40, 60)], "a long, b long")
     got = {r.id: r.component for r in connected_components(edges).collect()}
