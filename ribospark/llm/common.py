@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import struct
-import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where it is unset."""
+    """The shared folder named by spark.checkpoint.dir; where none is set, one in the warehouse, which is shared too."""
     small_batches(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -36,8 +38,7 @@ def scratch_root(spark: SparkSession) -> str:
         if jdir.isDefined():
             root = jdir.get()
         else:
-            root = tempfile.mkdtemp(prefix="ribospark-")
-            spark.sparkContext.setCheckpointDir(root)
+            root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/ribospark-scratch"
     return root.rstrip("/")
 
 
@@ -63,6 +64,29 @@ def remove(spark: SparkSession, *paths: str) -> None:
         jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def tidy() -> None:
+    """Give a Python worker's free memory back to the system: workers live on, and so would their greatest size."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to give back
+        pass
+
+
+def tidied(run):
+    """run, a function over a partition's batches, with tidy() at the end of the partition."""
+
+    @functools.wraps(run)
+    def whole(it):
+        try:
+            yield from run(it)
+        finally:
+            tidy()
+
+    return whole
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -2,36 +2,83 @@
 
 1. A text's blanks become the piece set's word mark, one more mark stands in front, and the text is cut into
    words: runs of marks with what follows them. No piece goes on past such a cut (checked when the piece
-   table is read), so words are independent.
-2. Distinct words are exploded into their substrings of bounded length and equi-joined to the piece table;
-   the edges found are grouped by word.
-3. A Spark higher-order ``aggregate`` folds each word's lattice to its pieces. The public piece file is a
-   byte-pair model, whose result is not the path of greatest total score, so a Viterbi fold over the lattice
-   cannot give its ids; the fold here joins, among the lattice's edges, the best-scored neighbours first
-   (ties: the leftmost), which is the model's own rule. Characters without a piece become byte pieces.
-4. Words' ids go back to their places and are put together by document.
+   table is read), so words are independent and each distinct one is encoded once.
+2. Tasks number the words of blocks of documents and send every block's distinct words, packed, to hash
+   ranges; no occurrence is shuffled, and the commonest word travels once per block.
+3. Each range's distinct words are exploded into their substrings of bounded length and equi-joined to the
+   piece table (broadcast: its size is that of the model file, and checked).
+4. The edges found are grouped by word and folded to the word's pieces. A unigram model takes the path of
+   greatest total score: ``viterbi`` folds the edges, by the place where they end, with Spark's higher-order
+   ``aggregate``; its state holds the best scores of the last places only, so it is linear in the edges. A
+   byte-pair model's result is not that path: ``merge`` joins, among the lattice's edges, the best-scored
+   neighbours first (ties: the leftmost), with a heap. Characters without a piece become byte pieces.
+5. Ranges answer each block with the ids of its words, and blocks put their documents together.
 
-Decoding turns ids into pieces by a join, byte pieces into bytes, and drops the first mark.
+Decoding looks ids up in the piece table, joins bytes and drops the first mark.
 
 Edge cases: null and empty texts give no ids and decode to the empty text; repeated rows are encoded one by
-one; null doc_ids stay null; an empty table gives an empty result; extra columns are ignored.
+one; null doc_ids stay null; an empty table gives an empty result; extra columns are ignored; a word may be
+as long as its text (a text without blanks), the cost grows with its length times the longest piece.
 """
 
 from __future__ import annotations
 
+import heapq
+import re
+import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
-from .tokens import tokenizer_path
+from .common import materialize, pack_arrays, partitions, remove, table, tidied, unpack_arrays
+from .tokens import slices, tokenizer_path
 
 MARK = "▁"
 #: Rows of a piece table that may be broadcast.
 MAX_PIECES = 2_000_000
+#: Characters of text whose words are numbered together.
+BLOCK_CHARS = 8_000_000
+BLOCK_ROWS = 60_000
+#: Characters of a word from which one row's substrings start.
+STRIDE = 256
+_RUNS = re.compile(f"{MARK}+[^{MARK}]*")
+
+
+def _varint(raw: bytes, at: int) -> tuple[int, int]:
+    value = shift = 0
+    while True:
+        b = raw[at]
+        value |= (b & 127) << shift
+        at, shift = at + 1, shift + 7
+        if b < 128:
+            return value, at
+
+
+def _fields(raw: bytes):
+    """(number, value) of a serialised message's fields."""
+    at = 0
+    while at < len(raw):
+        key, at = _varint(raw, at)
+        if key & 7 == 0:
+            value, at = _varint(raw, at)
+        elif key & 7 == 2:
+            n, at = _varint(raw, at)
+            value, at = raw[at : at + n], at + n
+        else:
+            n = 8 if key & 7 == 1 else 4
+            value, at = raw[at : at + n], at + n
+        yield key >> 3, value
+
+
+def is_byte_pair(path: str) -> bool:
+    """Whether a model file names byte-pair merges (2) as its kind, not a unigram model (1, or unset)."""
+    with open(path, "rb") as f:
+        raw = f.read()
+    return any(k == 3 and v == 2 for n, spec in _fields(raw) if n == 2 for k, v in _fields(spec))
 
 
 def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, int, int]:
@@ -48,88 +95,323 @@ def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, int, int]:
     return spark.createDataFrame(rows, "piece string, id int, score double"), max(len(p) for p, _, _ in rows), sp.piece_to_id("<0x00>")
 
 
-def words_of(text: Column) -> Column:
-    marked = F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(MARK)))
-    found = F.regexp_extract_all(marked, F.lit(f"{MARK}+[^{MARK}]*|[^{MARK}]+"), F.lit(0))
-    return F.when(F.length(text) > 0, found).otherwise(F.array().cast("array<string>"))
+def split_words(text: str) -> list[str]:
+    """Words of a text, each without its first mark."""
+    if not text:
+        return []
+    marked = MARK + text.replace(" ", MARK)
+    if MARK + MARK in marked:
+        return [w[1:] for w in _RUNS.findall(marked)]
+    return marked.split(MARK)[1:]
+
+
+class _Numbers(dict):
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+def _send_blocks(ranges: int):
+    """Per block of documents: their words as numbers (rng -1), and the distinct words of each hash range."""
+    import xxhash
+
+    def blobs(ids, counts, codes, numbers):
+        block = int.from_bytes(uuid.uuid4().bytes[:8], "big", signed=True)
+        words = [w.encode("utf-8", "surrogatepass") for w in numbers]
+        rng = np.fromiter((xxhash.xxh3_64_intdigest(w) % ranges for w in words), np.uint32, len(words))
+        null = np.array([i is None for i in ids], np.uint8)
+        yield -1, block, (np.array([i or 0 for i in ids], np.int64), null, np.array(counts, np.uint32), np.array(codes, np.uint32), rng)
+        order = np.argsort(rng, kind="stable")
+        edges = np.searchsorted(rng[order], np.arange(ranges + 1))
+        for r in range(ranges):
+            mine = [words[i] for i in order[edges[r] : edges[r + 1]].tolist()]
+            if mine:
+                yield r, block, (np.fromiter(map(len, mine), np.uint32, len(mine)), np.frombuffer(b"".join(mine), np.uint8))
+
+    def out(*held):
+        for r, block, arrays in blobs(*held):
+            cols = [pa.array([r], pa.int32()), pa.array([block], pa.int64()), pa.array([pack_arrays(*arrays)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, ["rng", "block", "blob"])
+
+    def run(it):
+        ids, counts, codes, numbers, held = [], [], [], _Numbers(), 0
+        for b in (x for whole in it for x in slices(whole)):
+            for k, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+                words = split_words(t or "")
+                ids.append(k)
+                counts.append(len(words))
+                codes.extend([numbers[w] for w in words])
+                held += len(t or "")
+                if held >= BLOCK_CHARS or len(ids) >= BLOCK_ROWS:
+                    yield from out(ids, counts, codes, numbers)
+                    ids, counts, codes, numbers, held = [], [], [], _Numbers(), 0
+        if ids:
+            yield from out(ids, counts, codes, numbers)
+
+    return tidied(run)
+
+
+def _binary(sizes: np.ndarray, flat: np.ndarray) -> pa.Array:
+    """A binary array of values of the given sizes."""
+    ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(flat))])
+
+
+def _words_of_range(t: pa.Table) -> pa.Table:
+    """The distinct words of one range, marked."""
+    found = pc.unique(pa.concat_arrays([_binary(*unpack_arrays(b)) for b in t.column("blob").to_pylist()]))
+    words = pc.binary_join_element_wise(pa.scalar(MARK.encode(), pa.large_binary()), found, pa.scalar(b"", pa.large_binary()))
+    return pa.Table.from_arrays([pa.array([t.column("rng")[0].as_py()] * len(words), pa.int32()), words.cast(pa.large_string()).cast(pa.string())], ["rng", "word"])
+
+
+def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    """Edges of words (wid, word, ...): from character a, l of them, with the piece's id and score.
+
+    Every character has its row; ch is the character, id and score are null where it is no piece. All columns of
+    words but word are kept. A word's rows follow one another.
+    """
+    keep = [c for c in words.columns if c != "word"]
+    spots = F.sequence(F.lit(0), F.length("word") - 1, F.lit(STRIDE))
+    parts = F.transform(spots, lambda i: F.struct(i.alias("base"), F.substring(F.col("word"), i + 1, F.lit(STRIDE + longest - 1)).alias("part")))
+    x = words.where(F.length("word") > 0).select(*keep, F.explode(parts).alias("p")).select(*keep, "p.base", "p.part")
+    x = x.select(*keep, "base", "part", F.explode(F.sequence(F.lit(0), F.least(F.length("part"), F.lit(STRIDE)) - 1)).alias("i"))
+    x = x.select(*keep, (F.col("base") + F.col("i")).alias("a"), F.substring(F.col("part"), F.col("i") + 1, F.lit(longest)).alias("sub"))
+    x = x.select(*keep, "a", "sub", F.explode(F.sequence(F.lit(1), F.length("sub"))).alias("l"))
+    x = x.withColumn("piece", F.substring(F.col("sub"), F.lit(1), F.col("l"))).drop("sub")
+    x = x.join(F.broadcast(pieces), "piece", "left").where((F.col("l") == 1) | F.col("id").isNotNull())
+    return x.select(*keep, "a", "l", "id", "score", F.when(F.col("l") == 1, F.col("piece")).alias("ch"))
+
+
+def viterbi(edges: DataFrame, longest: int, unknown: float | None = None) -> DataFrame:
+    """(wid, path) of a lattice's words: the (a, l) of the path of greatest total score, in order.
 
+    A character without a piece is an edge of the score unknown (by default 10 below the least of all). Ties go
+    to the path whose last differing edge is longer.
+    """
+    low = F.lit(unknown) if unknown is not None else F.coalesce(F.get("low", 0), F.lit(0.0)) - 10.0
+    if unknown is None:
+        least = edges.agg(F.array(F.min("score")).alias("low"))
+        edges = edges.crossJoin(F.broadcast(least))  # one row
+    e = edges.select("wid", (F.col("a") + F.col("l")).alias("b"), "l", F.coalesce("score", low).alias("score"))
+    ends = e.groupBy("wid", "b").agg(F.collect_list(F.struct("l", "score")).alias("es"))
+    each = ends.groupBy("wid").agg(F.array_sort(F.collect_list(F.struct("b", "es"))).alias("at"))
+    zero = F.struct(F.array(F.lit(0.0)).alias("best"), F.array().cast("array<int>").alias("back"))
 
-def _edge(edges: Column, a: Column, b: Column) -> Column:
-    """The edge from a to b of a word's lattice, or null."""
-    return F.get(F.filter(edges, lambda e: (e["a"] == a) & (e["b"] == b)), 0)
+    def step(s: Column, x: Column) -> Column:
+        # best: scores of the last places, nearest last; an edge of l characters starts l places back
+        reach = F.transform(x["es"], lambda g: F.struct((F.try_element_at(s["best"], -g["l"]) + g["score"]).alias("score"), g["l"].alias("l")))
+        pick = F.array_max(reach)
+        best = F.concat(F.slice(s["best"], F.greatest(F.size(s["best"]) - (longest - 2), F.lit(1)), F.lit(longest)), F.array(pick["score"]))
+        return F.struct(best.alias("best"), F.concat(s["back"], F.array(pick["l"])).alias("back"))
 
+    folded = each.select("wid", F.aggregate("at", zero, step)["back"].alias("back"))
 
-def _fold(edges: Column, n: Column) -> Column:
-    """Borders between the pieces of a word of n characters."""
-    start = F.sequence(F.lit(0), n)
+    def walk(s: Column, _: Column) -> Column:
+        l = F.get(F.col("back"), s["b"] - 1)  # noqa: E741
+        on = F.struct((s["b"] - l).alias("b"), F.concat(s["path"], F.array(F.struct((s["b"] - l).alias("a"), l.alias("l")))).alias("path"))
+        return F.when(s["b"] > 0, on).otherwise(s)
 
-    def step(borders: Column, _: Column) -> Column:
-        spots = F.sequence(F.lit(0), F.greatest(F.size(borders) - 3, F.lit(0)))
-        joins = F.transform(spots, lambda i: F.struct(_edge(edges, F.get(borders, i), F.get(borders, i + 2))["score"].alias("score"), (-i).alias("i")))
-        best = F.array_max(F.filter(joins, lambda j: j["score"].isNotNull()))
-        cut = F.filter(borders, lambda x, k: k != 1 - best["i"])
-        return F.when((F.size(borders) < 3) | best.isNull(), borders).otherwise(cut)
+    start = F.struct(F.size("back").alias("b"), F.array().cast("array<struct<a:int,l:int>>").alias("path"))
+    return folded.select("wid", F.reverse(F.aggregate("back", start, walk)["path"]).alias("path"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), start, step)
 
+def merge(n: int, edges: dict[int, float], width: int) -> list[int]:
+    """Starts of the pieces of a word of n characters: neighbours whose union is an edge join, best score first.
 
-def dictionary(words: DataFrame, pieces: DataFrame, longest: int, byte0: int) -> DataFrame:
-    """(word, ids) of distinct words."""
-    n = F.length("word")
-    at = words.select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("a"))
-    sub = at.select("word", "a", F.explode(F.sequence(F.col("a") + 1, F.least(n, F.col("a") + longest))).alias("b"))
-    sub = sub.withColumn("piece", F.substring("word", F.col("a") + 1, F.col("b") - F.col("a")))
-    edges = sub.join(F.broadcast(pieces), "piece").groupBy("word").agg(F.collect_list(F.struct("a", "b", "id", "score")).alias("edges"))
-    x = words.join(edges, "word", "left").withColumn("edges", F.coalesce("edges", F.array().cast("array<struct<a:int,b:int,id:int,score:double>>")))
-    x, _ = materialize(x.withColumn("borders", _fold(F.col("edges"), n)), "lattice")
-    parts = F.transform(F.slice("borders", F.lit(1), F.size("borders") - 1), lambda a, k: F.struct(a.alias("a"), F.get("borders", k + 1).alias("b")))
+    edges: score by a * width + l.
+    """
+    end, before, live = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
+    heap = []
+    for a in range(n - 1):
+        score = edges.get(a * width + 2)
+        if score is not None:
+            heap.append((-score, a, a + 1, a + 2))
+    heapq.heapify(heap)
+    while heap:
+        _, a, m, b = heapq.heappop(heap)
+        if not (live[a] and end[a] == m and live[m] and end[m] == b):
+            continue
+        end[a], live[m] = b, False
+        if b < n:
+            before[b] = a
+            c = end[b]
+            score = edges.get(a * width + c - a) if c - a < width else None
+            if score is not None:
+                heapq.heappush(heap, (-score, a, b, c))
+        p = before[a]
+        if p >= 0:
+            score = edges.get(p * width + b - p) if b - p < width else None
+            if score is not None:
+                heapq.heappush(heap, (-score, p, a, b))
+    return [a for a in range(n) if live[a]]
 
-    def ids(p: Column) -> Column:
-        raw = F.hex(F.encode(F.substring("word", p["a"] + 1, p["b"] - p["a"]), "utf-8"))
-        each = F.sequence(F.lit(0), (F.length(raw) / 2 - 1).cast("int"))
-        as_bytes = F.transform(each, lambda i: F.conv(F.substring(raw, 2 * i + 1, F.lit(2)), 16, 10).cast("int") + byte0)
-        e = _edge(F.col("edges"), p["a"], p["b"])
-        return F.when(e.isNotNull(), F.array(e["id"])).otherwise(as_bytes)
 
-    return x.select("word", F.flatten(F.transform(parts, ids)).alias("ids"))
+def _merged(longest: int, byte0: int):
+    """Fold a byte-pair lattice's rows, word after word, to (rng, word without its mark, ids)."""
+    width = longest + 1
+
+    def fold(rows, lo, hi):
+        a, l, i, s, ch = rows
+        score, ids, chars = {}, {}, []
+        for x in range(lo, hi):
+            key = a[x] * width + l[x]
+            if l[x] == 1:
+                chars.append(ch[x])
+            if i[x] >= 0:
+                ids[key] = i[x]
+                if l[x] > 1:
+                    score[key] = s[x]
+        n, out = len(chars), []
+        cuts = merge(n, score, width) if score else list(range(n))
+        for x, y in zip(cuts, [*cuts[1:], n], strict=True):
+            found = ids.get(x * width + y - x)
+            if found is None:
+                out.extend(byte0 + c for c in chars[x].encode("utf-8", "surrogatepass"))
+            else:
+                out.append(found)
+        return "".join(chars[1:]).encode("utf-8", "surrogatepass"), out
+
+    def run(it):
+        held = None
+        for b in it:
+            t = pa.Table.from_batches([b])
+            held = t if held is None else pa.concat_tables([held, t])
+            wid = held.column("wid").to_numpy()
+            if not len(wid) or wid[0] == wid[-1]:
+                continue  # the word may go on
+            last = int(np.flatnonzero(wid != wid[-1])[-1]) + 1
+            yield out(held.slice(0, last))
+            held = held.slice(last)
+        if held is not None and len(held):
+            yield out(held)
+
+    def out(t):
+        wid = t.column("wid").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(wid)) + 1).tolist(), len(wid)]
+        rows = [t.column("a").to_numpy().tolist(), t.column("l").to_numpy().tolist(), pc.fill_null(t.column("id"), -1).to_numpy().tolist(), pc.fill_null(t.column("score"), 0.0).to_numpy().tolist(), t.column("ch").to_pylist()]
+        found = [fold(rows, x, y) for x, y in zip(edges, edges[1:])]
+        rng = t.column("rng").to_numpy()[edges[:-1]]
+        cols = [pa.array(rng, pa.int32()), pa.array([w for w, _ in found], pa.binary()), pa.array([np.array(i, "<i4").tobytes() for _, i in found], pa.binary())]
+        return pa.RecordBatch.from_arrays(cols, ["rng", "word", "ids"])
+
+    return tidied(run)
+
+
+def dictionary(words: DataFrame, pieces: DataFrame, longest: int, byte0: int, byte_pair: bool) -> DataFrame:
+    """(rng, word without its mark, ids: little-endian 32-bit) of distinct words (rng, wid, word)."""
+    edges = lattice(words, pieces, longest)
+    if byte_pair:
+        return edges.mapInArrow(_merged(longest, byte0), "rng int, word binary, ids binary")
+    marked = words.join(viterbi(edges, longest), "wid")
+    at = F.explode(F.transform("path", lambda p, k: F.struct(k.alias("k"), F.substring(F.col("word"), p["a"] + 1, p["l"]).alias("piece"))))
+    each = marked.select("rng", "wid", "word", at.alias("p")).select("rng", "wid", "word", "p.*").join(F.broadcast(pieces), "piece", "left")
+    hex4 = lambda n: F.concat(*[F.lpad(F.hex(F.pmod(F.shiftright(n, 8 * i), F.lit(256))), 2, "0") for i in range(4)])
+    raw = F.hex(F.encode("piece", "utf-8"))
+    as_bytes = F.array_join(F.transform(F.sequence(F.lit(0), (F.length(raw) / 2 - 1).cast("int")), lambda i: hex4(F.conv(F.substring(raw, 2 * i + 1, F.lit(2)), 16, 10).cast("int") + byte0)), "")
+    each = each.withColumn("h", F.when(F.col("id").isNotNull(), hex4(F.col("id"))).otherwise(as_bytes))
+    whole = each.groupBy("rng", "wid", "word").agg(F.array_sort(F.collect_list(F.struct("k", "h"))).alias("hs"))
+    return whole.select("rng", F.encode(F.substr("word", F.lit(2)), "utf-8").alias("word"), F.unhex(F.array_join(F.transform("hs", lambda x: x["h"]), "")).alias("ids"))
+
+
+def _take(values: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and joined bytes of a binary array's values at the given places."""
+    got = values.take(pa.array(at))
+    sizes = pc.binary_length(got).to_numpy(zero_copy_only=False).astype(np.int64)
+    return sizes, np.frombuffer(b"".join(got.to_pylist()), np.uint8)
+
+
+def _answer(asks: pa.Table, known: pa.Table) -> pa.Table:
+    """Per block that asked one range: the ids of its words, in the order of asking."""
+    out = []
+    words = known.column("word").combine_chunks().cast(pa.large_binary())
+    ids = known.column("ids").combine_chunks()
+    for blob in asks.column("blob").to_pylist():
+        at = pc.index_in(_binary(*unpack_arrays(blob)), value_set=words).to_numpy()
+        sizes, flat = _take(ids, at)
+        out.append(pack_arrays((sizes // 4).astype(np.uint32), flat.view("<u4")))
+    return pa.Table.from_arrays([asks.column("rng"), asks.column("block"), pa.array(out, pa.binary())], ["rng", "block", "blob"])
+
+
+def _assemble(sent: pa.Table, replies: pa.Table) -> pa.Table:
+    """The documents of one block with their ids."""
+    ids, null, counts, codes, rng = unpack_arrays(sent.column("blob")[0].as_py())
+    order = np.argsort(replies.column("rng").to_numpy(), kind="stable").tolist()
+    found = [unpack_arrays(replies.column("blob")[i].as_py()) for i in order]
+    sizes = np.concatenate([s for s, _ in found] or [np.empty(0, np.uint32)]).astype(np.int64)
+    flat = np.concatenate([f for _, f in found] or [np.empty(0, np.uint32)])
+    place = np.empty(len(rng), np.int64)
+    place[np.argsort(rng, kind="stable")] = np.arange(len(rng))
+    starts, code = np.cumsum(sizes) - sizes, place[codes]
+    n = sizes[code]
+    at = np.concatenate(([0], np.cumsum(n)))
+    where = np.repeat(starts[code] - at[:-1], n)
+    where += np.arange(at[-1])
+    ends = at[np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))]
+    lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat[where].view(np.int32)))
+    return pa.Table.from_arrays([pa.array(ids, pa.int64(), mask=null.astype(bool)), lists], ["doc_id", "ids"])
 
 
 def encode_documents(docs: DataFrame, model: str) -> DataFrame:
-    """(row, doc_id, ids) of docs (doc_id, text); row tells repeated rows apart."""
+    """(doc_id, ids) of docs (doc_id, text), one row for each of theirs."""
     spark = docs.sparkSession
     pieces, longest, byte0 = piece_table(spark, model)
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), words_of(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("ws"))
-    rows, _ = materialize(rows, "words")
-    words = rows.select(F.explode("ws").alias("word")).distinct()
-    known, _ = materialize(dictionary(words, pieces, longest, byte0), "dictionary")
-    each = rows.select("row", F.posexplode("ws").alias("at", "word"))
-    ids = each.join(known, "word").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("x"))
-    ids = ids.select("row", F.flatten(F.transform("x", lambda y: y["ids"])).alias("ids"))
-    return rows.select("row", "doc_id").join(ids, "row", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
+    ranges = partitions(spark)
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sent, _ = materialize(plain.mapInArrow(_send_blocks(ranges), "rng int, block long, blob binary"), "blocks")
+    asks = sent.where("rng >= 0")
+    words = asks.groupBy("rng").applyInArrow(_words_of_range, "rng int, word string")
+    words, words_path = materialize(words.withColumn("wid", F.monotonically_increasing_id()), "words")
+    known, _ = materialize(dictionary(words, pieces, longest, byte0, is_byte_pair(model)), "dictionary")
+    remove(spark, words_path)
+    replies = asks.groupBy("rng").cogroup(known.groupBy("rng")).applyInArrow(_answer, "rng int, block long, blob binary")
+    blocks = sent.where("rng < 0").select("block", "blob")
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_assemble, "doc_id long, ids array<int>")
+
+
+def _piece_bytes(model: str) -> list[bytes]:
+    """Bytes of each id; none for control pieces."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=model)
+    kind = lambda i: bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) else sp.id_to_piece(i).encode()
+    return [kind(i) for i in range(sp.get_piece_size())]
+
+
+def _texts(ids: pa.ListArray, pieces: pa.Array) -> list[str]:
+    lists = pa.ListArray.from_arrays(ids.offsets, pieces.take(ids.values))
+    return [(x or b"").decode("utf-8", "replace").replace(MARK, " ")[1:] for x in pc.binary_join(lists, b"").to_pylist()]
+
+
+def _decode(table_: list[bytes]):
+    def run(it):
+        pieces = pa.array(table_, pa.binary())
+        for b in it:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_texts(b.column("ids"), pieces), pa.string())], [*b.schema.names, "text"])
+
+    return run
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
-    """encoded (row, doc_id, ids) with text."""
-    pieces, _, byte0 = piece_table(encoded.sparkSession, model)
-    b = F.col("id") - byte0
-    each = encoded.select("row", F.posexplode("ids").alias("at", "id")).join(F.broadcast(pieces.select("id", "piece")), "id", "left")
-    raw = F.coalesce(F.hex(F.encode(F.replace("piece", F.lit(MARK), F.lit(" ")), "utf-8")), F.lpad(F.hex(b), 2, "0"))
-    whole = each.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", raw.alias("h")))).alias("x"))
-    text = F.decode(F.unhex(F.array_join(F.transform("x", lambda y: y["h"]), "")), "utf-8")
-    whole = whole.select("row", F.substr(text, F.lit(2)).alias("text"))
-    return encoded.join(whole, "row", "left").withColumn("text", F.coalesce("text", F.lit("")))
+    """encoded (doc_id, ids) with text."""
+    schema = encoded.select("doc_id", "ids").schema.add("text", "string")
+    return encoded.select("doc_id", "ids").mapInArrow(_decode(_piece_bytes(model)), schema)
+
 
+def _digest(table_: list[bytes]):
+    def run(it):
+        for b in _decode(table_)(it):
+            lists = b.column("ids")
+            ends = lists.offsets.to_numpy()
+            flat = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
+            crc = [zlib.crc32(flat[x:y].tobytes()) for x, y in zip(ends, ends[1:])]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64()), b.column("text")], ["doc_id", "n_ids", "ids_crc32", "text"])
 
-def _digest(it):
-    for b in it:
-        crc = [zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in b.column("ids").to_pylist()]
-        n = [len(x) for x in b.column("ids").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), b.column("text")], ["doc_id", "n_ids", "ids_crc32", "text"])
+    return tidied(run)
 
 
 def op9_sentencepiece(spark, sf_dir: str) -> DataFrame:
     """doc_id, n_ids, ids_crc32 and the decoded text's length and sha256 of every document."""
     model = tokenizer_path("piece_bpe_32k.model")
-    encoded, _ = materialize(encode_documents(table(spark, sf_dir, "documents"), model), "encoded")
-    out = decode_documents(encoded, model).select("doc_id", "ids", "text").mapInArrow(_digest, "doc_id long, n_ids long, ids_crc32 long, text string")
+    encoded = encode_documents(table(spark, sf_dir, "documents"), model)
+    out = encoded.mapInArrow(_digest(_piece_bytes(model)), "doc_id long, n_ids long, ids_crc32 long, text string")
     return out.select("doc_id", "n_ids", "ids_crc32", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
