@@ -6,8 +6,9 @@ in the least document that has it.
 
 1. Copies: of equal texts only the one with the least doc_id goes on; the others repeat it whole.
 2. Anchors: every 50-byte string has an anchor, the 16-byte gram of least hash in it, so equal strings have
-   equal anchors wherever they stand. Tasks send sorted, delta-coded anchors to hash ranges, which answer
-   with the places whose anchor another document also has. A text without any is untouched.
+   equal anchors wherever they stand, and 17 equal bytes before the anchor or 17 after it. Tasks send blocks
+   of sorted, delta-coded anchors with prints of both sides to hash ranges, which answer each block with the
+   places whose anchor and a side of it another document also has. A text without any is untouched.
 3. Windows: around each such place, the bytes in which every 50-byte string with this anchor lies (at most
    84). Equal windows are one, with the least and greatest doc_id of all their occurrences.
 4. Suffix arrays: windows are dealt by anchor, so equal strings meet. Each bucket sorts its suffixes,
@@ -31,11 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix64, pack_arrays, partitions, remove, table, unpack_arrays
+from .common import materialize, mix64, pack_arrays, partitions, remove, table, tidied, unpack_arrays
 from .tokens import slices
 
 LENGTH = 50
 GRAM = 16
+#: A 50-byte string has at least so many bytes before its anchor, or after it.
+SIDE = (LENGTH - GRAM) // 2
 #: Windows of one anchor that are gathered in a task.
 HOT = 50_000
 #: Windows in a bucket, about: bounds a task's suffix array.
@@ -45,15 +48,23 @@ MAX_BROADCAST_IDS = 2_000_000
 MAX_BROADCAST_SPANS = 1_000_000
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place of data (uint8) on as numbers."""
+    return np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1)).copy().view("<u8").reshape(-1)
+
+
+def _gram_hash(words: np.ndarray, at) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix64(words[at] * np.uint64(0x9E3779B97F4A7C15) + mix64(words[at + 8]))
+
+
 def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """(places, hashes) of the grams of least hash, leftmost first, in any length bytes of data (uint8)."""
     n = len(data) - gram + 1
     width = length - gram + 1
     if n < width:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    words = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1)).copy().view("<u8").reshape(-1)
-    with np.errstate(over="ignore"):
-        h = mix64(words[:n] * np.uint64(0x9E3779B97F4A7C15) + mix64(words[8 : 8 + n]))
+    h = _gram_hash(_words(data), np.arange(n))
     m = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
     step = 1
     while 2 * step <= width:
@@ -68,6 +79,18 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
     return at, h[at]
 
 
+def sides(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prints (uint16) of the SIDE bytes before and after each anchor; 0 where the text has not that many."""
+    words, out = _words(data), []
+    for start in (at - SIDE, at + GRAM):
+        real = (start >= 0) & (start + SIDE <= len(data))
+        x = np.where(real, start, 0)
+        with np.errstate(over="ignore"):
+            h = mix64(mix64(words[x] * np.uint64(0x9E3779B97F4A7C15) + words[x + 8]) + words[x + SIDE - 8])
+        out.append(np.where(real, (h >> np.uint64(48)) | np.uint64(1), np.uint64(0)).astype(np.uint16))
+    return out[0], out[1]
+
+
 def maximal_repeats(windows: list[bytes], least: int = LENGTH):
     """Maximal repeats of at least that many bytes: (length, [(window, place), ...]) with all occurrences.
 
@@ -85,10 +108,21 @@ def maximal_repeats(windows: list[bytes], least: int = LENGTH):
     sizes = np.fromiter(map(len, windows), np.int64, n)
     flat = np.frombuffer(b"".join(windows), np.uint8)
     data[np.repeat(np.arange(n), sizes), np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
-    grid = np.lib.stride_tricks.as_strided(data, (n, places, width), (data.strides[0], 1, 1))
     real = np.arange(places)[None, :] + least <= sizes[:, None]
     win, at = np.nonzero(real)
-    keys = grid[win, at].view(">u8").astype(np.uint64)
+    words = np.lib.stride_tricks.as_strided(data, (n, places + width - 7, 8), (data.strides[0], 1, 1)).copy().view(">u8")[..., 0].astype(np.uint64)
+    # A suffix whose first ``least`` bytes are no other's is in no repeat: it isn't sorted.
+    h = np.zeros(len(win), np.uint64)
+    for i in range(0, least, 8):
+        cut = np.uint64(8 * max(0, i + 8 - least))
+        h = mix64(h + (words[win, at + i] >> cut) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    order = np.sort(order[np.concatenate((same, [False])) | np.concatenate(([False], same))])
+    if not len(order):
+        return
+    win, at = win[order], at[order]
+    keys = words[win[:, None], at[:, None] + 8 * np.arange(width // 8)]
     left = np.where(at > 0, data[win, at - 1].astype(np.int64), 256 + np.arange(len(at)))
     room = sizes[win] - at
     order = np.lexsort(keys.T[::-1])
@@ -135,20 +169,23 @@ def _run_extremes(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarr
 
 def _send_anchors(ranges: int):
     def blobs(ids, prints, found):
-        sizes = np.array([len(p) for p, _ in found], np.int64)
-        h = np.concatenate([x for _, x in found])
-        at = np.concatenate([p for p, _ in found]).astype(np.uint32)
+        sizes = np.array([len(x[0]) for x in found], np.int64)
+        at, h, before, after = (np.concatenate([x[i] for x in found]) for i in range(4))
         d = np.repeat(np.arange(len(found), dtype=np.uint32), sizes)
         part = ((h >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
         order = np.lexsort((h & np.uint64(0xFFFFFFFF), part))
-        h, at, d, part = h[order] & np.uint64(0xFFFFFFFF), at[order], d[order], part[order]
+        h, at, d, part = h[order] & np.uint64(0xFFFFFFFF), at[order].astype(np.uint32), d[order], part[order]
+        before, after = before[order], after[order]
         edges = np.searchsorted(part, np.arange(ranges + 1))
+        # The same block gets the same name when its task runs anew.
+        name = hashlib.blake2b(np.array([ids[0], prints[0], ids[-1], prints[-1], len(ids)], np.int64).tobytes(), digest_size=8).digest()
+        block = int.from_bytes(name, "big", signed=True)
         for r in range(ranges):
             a, b = edges[r], edges[r + 1]
             if a < b:
                 docs, ix = np.unique(d[a:b], return_inverse=True)
-                cols = np.diff(h[a:b], prepend=np.uint64(0)), ix.astype(np.uint32), at[a:b], np.diff(ids[docs], prepend=0), prints[docs]
-                yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([pack_arrays(*cols)], pa.binary())], ["rng", "blob"])
+                cols = np.diff(h[a:b], prepend=np.uint64(0)), ix.astype(np.uint32), at[a:b], before[a:b], after[a:b], np.diff(ids[docs], prepend=0), prints[docs]
+                yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([block], pa.int64()), pa.array([pack_arrays(*cols)], pa.binary())], ["rng", "block", "blob"])
 
     def run(it):
         ids, prints, found, held = [], [], [], 0
@@ -162,7 +199,9 @@ def _send_anchors(ranges: int):
                 if len(raw) >= LENGTH:
                     ids.append(k)
                     prints.append(f)
-                    found.append(anchors(np.frombuffer(raw, np.uint8)))
+                    data = np.frombuffer(raw, np.uint8)
+                    at, h = anchors(data)
+                    found.append((at, h, *sides(data, at)))
                     held += len(raw)
                     if held >= BLOCK_BYTES:
                         yield from out()
@@ -170,33 +209,59 @@ def _send_anchors(ranges: int):
         if ids:
             yield from out()
 
-    return run
+    return tidied(run)
+
+
+def _by_many(key: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Where rows of another id have the same key."""
+    if not len(key):
+        return np.zeros(0, bool)
+    order = np.argsort(key, kind="stable")
+    k, x = key[order], ids[order]
+    starts = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+    many = np.minimum.reduceat(x, starts) != np.maximum.reduceat(x, starts)
+    on = np.empty(len(key), bool)
+    on[order] = np.repeat(many, np.diff(np.concatenate((starts, [len(k)]))))
+    return on
 
 
 def _common_anchors(t: pa.Table) -> pa.Table:
-    """For one range: the places of each document whose anchor another doc_id also has."""
-    hs, ds, ps, keys, prints, base = [], [], [], [], [], 0
+    """For one range and each block: the places whose anchor, with the bytes before or after it, another doc_id also has."""
+    parts, base = [], 0
     for blob in t.column("blob").to_pylist():
-        h, d, p, k, f = unpack_arrays(blob)
-        hs.append(np.cumsum(h, dtype=np.uint64))
-        ds.append(d.astype(np.int64) + base)
-        ps.append(p)
-        keys.append(np.cumsum(k))
-        prints.append(f)
+        h, d, p, before, after, k, f = unpack_arrays(blob)
+        parts.append((np.cumsum(h, dtype=np.uint64), d.astype(np.int64) + base, p, before, after, np.cumsum(k), f))
         base += len(k)
-    h, d, p, keys, prints = (np.concatenate(x) for x in (hs, ds, ps, keys, prints))
-    order = np.argsort(h, kind="stable")
-    h, d, p = h[order], d[order], p[order]
-    starts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    ends = np.cumsum([0, *(len(x[5]) for x in parts)])
+    h, d, p, before, after, keys, prints = (np.concatenate(x) for x in zip(*parts, strict=True))
+    on = np.flatnonzero(_by_many(h, keys[d]))
+    h, d, p, before, after = h[on] << np.uint64(16), d[on], p[on], before[on], after[on]
     ids = keys[d]
-    many = np.minimum.reduceat(ids, starts) != np.maximum.reduceat(ids, starts)
-    on = np.repeat(many, np.diff(np.concatenate((starts, [len(h)]))))
+    on = (before > 0) & _by_many(h | before, ids) | (after > 0) & _by_many(h | after, ids)
     d, p = d[on], p[on]
     order = np.argsort(d, kind="stable")
     d, p = d[order], p[order]
-    docs, first = np.unique(d, return_index=True)
-    lists = pa.ListArray.from_arrays(pa.array(np.concatenate((first, [len(d)])).astype(np.int32)), pa.array(p.astype(np.int32)))
-    return pa.Table.from_arrays([pa.array(keys[docs]), pa.array(prints[docs]), lists], ["doc_id", "fp", "at"])
+    edges = np.searchsorted(d, ends)
+    rows = []
+    for block, a, b in zip(t.column("block").to_pylist(), edges, edges[1:]):
+        if a < b:
+            docs, ix = np.unique(d[a:b], return_inverse=True)
+            rows.append((block, pack_arrays(keys[docs], prints[docs], ix.astype(np.uint32), p[a:b])))
+    return pa.Table.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["block", "blob"])
+
+
+def _places(t: pa.Table) -> pa.Table:
+    """For one block: the places of each document."""
+    cols = []
+    for blob in t.column("blob").to_pylist():
+        keys, prints, ix, p = unpack_arrays(blob)
+        cols.append((keys[ix], prints[ix], p))
+    k, f, p = (np.concatenate(x) for x in zip(*cols, strict=True))
+    order = np.lexsort((p, f, k))
+    k, f, p = k[order], f[order], p[order]
+    first = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (f[1:] != f[:-1]))))
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate((first, [len(k)])).astype(np.int32)), pa.array(p.astype(np.int32)))
+    return pa.Table.from_arrays([pa.array(k[first]), pa.array(f[first]), lists], ["doc_id", "fp", "at"])
 
 
 def _windows(it):
@@ -204,31 +269,42 @@ def _windows(it):
     names = ("doc_id", "fp", "h", "w", "start")
     for b in (x for whole in it for x in slices(whole)):
         for k, f, t, ats in zip(*(b.column(c).to_pylist() for c in ("doc_id", "fp", "text", "ats")), strict=True):
-            raw = t.encode("utf-8", "surrogatepass")
-            all_at = np.sort(np.concatenate([np.asarray(x, np.int64) for x in ats]))
+            data = np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8)
+            words = _words(data)
+            all_at = np.unique(np.concatenate([np.asarray(x, np.int64) for x in ats]))
             for i in range(0, len(all_at), 50_000):
                 at = all_at[i : i + 50_000]
                 start = np.maximum(at - (LENGTH - GRAM), 0)
-                w = [raw[s : p + LENGTH] for s, p in zip(start.tolist(), at.tolist(), strict=True)]
-                h = [int.from_bytes(hashlib.blake2b(raw[p : p + GRAM], digest_size=8).digest(), "big", signed=True) for p in at.tolist()]
+                sizes = np.minimum(at + LENGTH, len(data)) - start
+                ends = np.concatenate(([0], np.cumsum(sizes)))
+                flat = data[np.repeat(start - ends[:-1], sizes) + np.arange(ends[-1])]
+                w = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat)])
                 n = len(at)
-                cols = [pa.array([k] * n, pa.int64()), pa.array([f] * n, pa.int64()), pa.array(h, pa.int64()), pa.array(w, pa.binary()), pa.array(start.astype(np.int32))]
+                cols = [pa.array(np.full(n, k, np.int64)), pa.array(np.full(n, f, np.int64)), pa.array(_gram_hash(words, at).view(np.int64)), w, pa.array(start.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
 
 def _bucket_spans(t: pa.Table) -> pa.Table:
     """For one bucket of distinct windows: the spans of their repeats, with the repeats' least doc_id."""
     w, lo, hi = t.column("w").to_pylist(), t.column("lo").to_numpy(), t.column("hi").to_numpy()
-    spans: dict[int, dict] = {i: {(0, len(w[i])): int(lo[i])} for i in np.flatnonzero(lo < hi).tolist() if len(w[i]) >= LENGTH}
+    sizes = np.fromiter(map(len, w), np.int64, len(w))
+    whole = np.flatnonzero((lo < hi) & (sizes >= LENGTH))
+    found = [(whole, np.zeros(len(whole), np.int64), sizes[whole], lo[whole])]
     for n, win, at in maximal_repeats(w):
-        least = int(lo[win].min())
+        least = lo[win].min()
         on = hi[win] > least
-        for x, p in zip(win[on].tolist(), at[on].tolist(), strict=True):
-            held = spans.setdefault(x, {})
-            held[p, p + n] = min(least, held.get((p, p + n), least))
-    rows = [(w[x], [{"a": a, "b": b, "lo": m} for (a, b), m in s.items()]) for x, s in spans.items()]
-    kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("lo", pa.int64())]))
-    return pa.Table.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], kind)], ["w", "spans"])
+        if on.any():
+            x, p = win[on], at[on]
+            found.append((x, p, p + n, np.full(len(x), least)))
+    x, a, b, m = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.lexsort((m, b, a, x))
+    x, a, b, m = x[order], a[order], b[order], m[order]
+    new = np.concatenate(([True], (x[1:] != x[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[: len(x)]
+    x, a, b, m = x[new], a[new], b[new], m[new]
+    of, first = np.unique(x, return_index=True)
+    spans = pa.StructArray.from_arrays([pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(m.astype(np.int64))], ["a", "b", "lo"])
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate((first, [len(x)])).astype(np.int32)), spans)
+    return pa.Table.from_arrays([pa.array([w[i] for i in of.tolist()], pa.binary()), lists], ["w", "spans"])
 
 
 SPANS = "w binary, spans array<struct<a:int,b:int,lo:bigint>>"
@@ -301,10 +377,11 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies, _ = materialize(prints.join(classes, ["fp", "fp2"]).where("doc_id > first").select("doc_id", "fp").distinct(), "copies")
     side = F.broadcast(copies) if copies.count() <= MAX_BROADCAST_IDS else copies
     firsts = known.join(side, ["doc_id", "fp"], "left_anti")
-    sent = firsts.select("doc_id", "fp", "text").mapInArrow(_send_anchors(r), "rng int, blob binary")
-    places = sent.groupBy("rng").applyInArrow(_common_anchors, "doc_id long, fp long, at array<int>")
+    sent = firsts.select("doc_id", "fp", "text").mapInArrow(_send_anchors(r), "rng int, block long, blob binary")
+    replies = sent.groupBy("rng").applyInArrow(_common_anchors, "block long, blob binary")
+    places = replies.groupBy("block").applyInArrow(_places, "doc_id long, fp long, at array<int>")
     places, places_path = materialize(places.groupBy("doc_id", "fp").agg(F.collect_list("at").alias("ats")), "places")
-    occ, occ_path = materialize(firsts.join(places, ["doc_id", "fp"]).select("doc_id", "fp", "text", "ats").mapInArrow(_windows, "doc_id long, fp long, h long, w binary, start int"), "windows")
+    occ, occ_path = materialize(firsts.join(places, ["doc_id", "fp"]).select("doc_id", "fp", "text", "ats").mapInArrow(tidied(_windows), "doc_id long, fp long, h long, w binary, start int"), "windows")
     remove(spark, places_path)
     distinct, distinct_path = materialize(occ.groupBy("h", "w").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")), "distinct")
     keys = [F.xxhash64("w").alias("k1"), F.xxhash64("w", F.lit(1)).alias("k2")]
@@ -340,7 +417,7 @@ def dedup_bytes(docs: DataFrame) -> DataFrame:
     schema = StructType(list(docs.schema.fields))
     for n, t in ADDED:
         schema = schema.add(n, t)
-    return out.mapInArrow(_apply(docs.columns), schema)
+    return out.mapInArrow(tidied(_apply(docs.columns)), schema)
 
 
 def dedup_texts(docs: DataFrame) -> DataFrame:

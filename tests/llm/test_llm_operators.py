@@ -144,6 +144,13 @@ def test_suffix_dedup_against_brute_force(spark, monkeypatch, hot):
     assert got == brute_bytes(rows)
 
 
+def test_suffix_dedup_of_whole_texts(spark, sf):
+    df = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in df.collect()]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in suffix_dedup.dedup_bytes(df).collect()}
+    assert got == brute_bytes(rows)
+
+
 def test_wavelet_matrix():
     x = np.random.default_rng(1).integers(0, 300, 5000).astype("<u4")
     w = wavelet.WaveletMatrix(wavelet.build(x, [None, 5], [2000, 3000]))
