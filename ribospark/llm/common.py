@@ -66,7 +66,6 @@ def remove(spark: SparkSession, *paths: str) -> None:
 
 def tidy() -> None:
     """Give a Python worker's free memory back to the system: workers live on, and so would their greatest size."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -53,18 +53,19 @@ def _words(data: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1)).copy().view("<u8").reshape(-1)
 
 
-def _gram_hash(words: np.ndarray, at) -> np.ndarray:
+def _gram_hash(words: np.ndarray, at, on) -> np.ndarray:
+    """Hashes of the grams at places at; on: the same places, 8 further."""
     with np.errstate(over="ignore"):
-        return mix64(words[at] * np.uint64(0x9E3779B97F4A7C15) + mix64(words[at + 8]))
+        return mix64(words[at] * np.uint64(0x9E3779B97F4A7C15) + mix64(words[on]))
 
 
-def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the grams of least hash, leftmost first, in any length bytes of data (uint8)."""
-    n = len(data) - gram + 1
+def anchors(words: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the grams of least hash, leftmost first, in any length bytes of a text of _words words."""
+    n = len(words) + 7 - gram + 1
     width = length - gram + 1
     if n < width:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    h = _gram_hash(_words(data), np.arange(n))
+    h = _gram_hash(words, slice(0, n), slice(8, n + 8))
     m = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
     step = 1
     while 2 * step <= width:
@@ -79,14 +80,15 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
     return at, h[at]
 
 
-def sides(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sides(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prints (uint16) of the SIDE bytes before and after each anchor; 0 where the text has not that many."""
-    words, out = _words(data), []
+    out = []
     for start in (at - SIDE, at + GRAM):
-        real = (start >= 0) & (start + SIDE <= len(data))
+        real = (start >= 0) & (start + SIDE <= len(words) + 7)
         x = np.where(real, start, 0)
         with np.errstate(over="ignore"):
-            h = mix64(mix64(words[x] * np.uint64(0x9E3779B97F4A7C15) + words[x + 8]) + words[x + SIDE - 8])
+            h = words[x] * np.uint64(0x9E3779B97F4A7C15) + words[x + 8] * np.uint64(0xD6E8FEB86659FD93) + words[x + SIDE - 8] * np.uint64(0xA24BAED4963EE407)
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
         out.append(np.where(real, (h >> np.uint64(48)) | np.uint64(1), np.uint64(0)).astype(np.uint16))
     return out[0], out[1]
 
@@ -199,9 +201,9 @@ def _send_anchors(ranges: int):
                 if len(raw) >= LENGTH:
                     ids.append(k)
                     prints.append(f)
-                    data = np.frombuffer(raw, np.uint8)
-                    at, h = anchors(data)
-                    found.append((at, h, *sides(data, at)))
+                    words = _words(np.frombuffer(raw, np.uint8))
+                    at, h = anchors(words)
+                    found.append((at, h, *sides(words, at)))
                     held += len(raw)
                     if held >= BLOCK_BYTES:
                         yield from out()
@@ -280,7 +282,7 @@ def _windows(it):
                 flat = data[np.repeat(start - ends[:-1], sizes) + np.arange(ends[-1])]
                 w = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat)])
                 n = len(at)
-                cols = [pa.array(np.full(n, k, np.int64)), pa.array(np.full(n, f, np.int64)), pa.array(_gram_hash(words, at).view(np.int64)), w, pa.array(start.astype(np.int32))]
+                cols = [pa.array(np.full(n, k, np.int64)), pa.array(np.full(n, f, np.int64)), pa.array(_gram_hash(words, at, at + 8).view(np.int64)), w, pa.array(start.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
 
