@@ -173,6 +173,7 @@ def _send_anchors(ranges: int):
     def blobs(ids, prints, found):
         sizes = np.array([len(x[0]) for x in found], np.int64)
         at, h, before, after = (np.concatenate([x[i] for x in found]) for i in range(4))
+        h = mix64(h)  # least hashes crowd in the low ranges
         d = np.repeat(np.arange(len(found), dtype=np.uint32), sizes)
         part = ((h >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
         order = np.lexsort((h & np.uint64(0xFFFFFFFF), part))
