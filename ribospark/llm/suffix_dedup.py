@@ -300,21 +300,57 @@ def _bucket_spans(t: pa.Table) -> pa.Table:
             x, p = win[on], at[on]
             found.append((x, p, p + n, np.full(len(x), least)))
     x, a, b, m = (np.concatenate(c) for c in zip(*found, strict=True))
-    order = np.lexsort((m, b, a, x))
+    order = np.lexsort((m, x))
     x, a, b, m = x[order], a[order], b[order], m[order]
-    new = np.concatenate(([True], (x[1:] != x[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[: len(x)]
-    x, a, b, m = x[new], a[new], b[new], m[new]
-    of, first = np.unique(x, return_index=True)
-    spans = pa.StructArray.from_arrays([pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(m.astype(np.int64))], ["a", "b", "lo"])
-    lists = pa.ListArray.from_arrays(pa.array(np.concatenate((first, [len(x)])).astype(np.int32)), spans)
-    return pa.Table.from_arrays([pa.array([w[i] for i in of.tolist()], pa.binary()), lists], ["w", "spans"])
-
-
-SPANS = "w binary, spans array<struct<a:int,b:int,lo:bigint>>"
+    # Two spans of one window have 50 of its at most 84 bytes each, so they overlap: their union is one span.
+    base = x * 256
+    a = np.minimum.accumulate((a - base)) + base
+    b = np.maximum.accumulate(b + base) - base
+    last = np.concatenate((x[1:] != x[:-1], [True]))[: len(x)]
+    step = last | np.concatenate((m[1:] != m[:-1], [True]))[: len(x)]
+    x, a, b, m, last = x[step], a[step], b[step], m[step], last[step]
+    upto = np.where(last, np.iinfo(np.int64).max, np.concatenate((m[1:], m[:1])))
+    names = ("w", "a", "b", "lo", "upto")
+    return pa.Table.from_arrays([pa.array([w[i] for i in x.tolist()], pa.binary()), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(m.astype(np.int64)), pa.array(upto.astype(np.int64))], names)
+
+
+def _merge_spans(it):
+    """Rows (doc_id, fp, a, b) in this order to one row per document with its spans, merged."""
+    held = None
+
+    def out(t):
+        k, f, a, b = (t.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "fp", "a", "b"))
+        first = np.concatenate(([True], (k[1:] != k[:-1]) | (f[1:] != f[:-1])))
+        base = np.cumsum(first) << 32
+        most = np.maximum.accumulate(b + base)
+        new = first | np.concatenate(([True], a[1:] + base[1:] > most[:-1]))
+        starts = np.flatnonzero(new)
+        ends = np.concatenate((starts[1:], [len(a)])) - 1
+        spans = pa.StructArray.from_arrays([pa.array(a[starts].astype(np.int32)), pa.array((most - base)[ends].astype(np.int32))], ["a", "b"])
+        docs = np.flatnonzero(first)
+        edges = np.concatenate((np.searchsorted(starts, docs), [len(starts)])).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(k[docs]), pa.array(f[docs]), pa.ListArray.from_arrays(pa.array(edges), spans)], ["doc_id", "fp", "spans"])
+
+    for batch in it:
+        t = pa.Table.from_batches([batch])
+        held = t if held is None else pa.concat_tables([held, t])
+        k, f = held.column("doc_id").to_numpy(), held.column("fp").to_numpy()
+        other = np.flatnonzero((k != k[-1]) | (f != f[-1])) if len(k) else []
+        if len(other):
+            yield out(held.slice(0, int(other[-1]) + 1))
+            held = held.slice(int(other[-1]) + 1)
+    if held is not None and len(held):
+        yield out(held)
+
+
+SPANS = "w binary, a int, b int, lo long, upto long"
 
 
 def window_spans(distinct: DataFrame) -> DataFrame:
-    """(w, spans) of the distinct windows (h, w, lo, hi): repeats' spans, from suffix arrays or, for hot anchors, by counting."""
+    """Spans (w, a, b, lo, upto) of the distinct windows (h, w, lo, hi), from suffix arrays or, for hot anchors, by counting.
+
+    A document above lo, and not above upto, loses the bytes from a to b of its window.
+    """
     sizes = distinct.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > HOT)
     # At most one row for every HOT windows: a table of a few rows, broadcast to both sides below.
     hot_h, _ = materialize(sizes.select("h"), "hot")
@@ -326,7 +362,11 @@ def window_spans(distinct: DataFrame) -> DataFrame:
     hot = distinct.join(side, "h", "left_semi").where(F.length("w") >= LENGTH)
     grams = hot.select("w", "lo", "hi", F.posexplode(F.transform(F.sequence(F.lit(1), F.length("w") - (LENGTH - 1)), lambda i: F.substring(F.col("w"), i, F.lit(LENGTH)))).alias("a", "g"))
     least = grams.groupBy("g").agg(F.min("lo").alias("least"))
-    rest = grams.join(least, "g").where("hi > least").groupBy("w").agg(F.collect_list(F.struct("a", (F.col("a") + LENGTH).alias("b"), F.col("least").alias("lo"))).alias("spans"))
+    each = grams.join(least, "g").where("hi > least").groupBy("w", F.col("least").alias("lo")).agg(F.min("a").alias("a"), (F.max("a") + LENGTH).alias("b"))
+    rest = each.groupBy("w").agg(F.array_sort(F.collect_list(F.struct("lo", "a", "b"))).alias("s"))
+    upto = F.coalesce(F.get("s", F.col("i") + 1)["lo"], F.lit(2**63 - 1))
+    rest = rest.select("w", "s", F.posexplode("s").alias("i", "x")).withColumn("s2", F.slice("s", F.lit(1), F.col("i") + 1))
+    rest = rest.select("w", F.array_min(F.transform("s2", lambda y: y["a"])).alias("a"), F.array_max(F.transform("s2", lambda y: y["b"])).alias("b"), "x.lo", upto.alias("upto"))
     return found.unionByName(rest)
 
 
@@ -388,14 +428,12 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     remove(spark, places_path)
     distinct, distinct_path = materialize(occ.groupBy("h", "w").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")), "distinct")
     keys = [F.xxhash64("w").alias("k1"), F.xxhash64("w", F.lit(1)).alias("k2")]
-    found, found_path = materialize(window_spans(distinct).select(*keys, "spans"), "spans")
+    found, found_path = materialize(window_spans(distinct).select(*keys, "a", "b", "lo", "upto"), "spans")
     remove(spark, distinct_path)
-    # Two spans of one window have 50 of its at most 84 bytes each, so they overlap: their union is one span.
-    mine = F.filter("spans", lambda x: x["lo"] < F.col("doc_id"))
-    cut = occ.select("doc_id", "fp", "start", *keys).join(found, ["k1", "k2"]).select("doc_id", "fp", "start", mine.alias("m")).where(F.size("m") > 0)
-    at = lambda f, x: (F.col("start") + f(F.transform("m", lambda y: y[x]))).alias(x)
-    cut = cut.select("doc_id", "fp", F.struct(at(F.array_min, "a"), at(F.array_max, "b")).alias("s"))
-    spans, _ = materialize(cut.groupBy("doc_id", "fp").agg(F.collect_list("s").alias("spans")), "cuts")
+    cut = occ.select("doc_id", "fp", "start", *keys).join(found, ["k1", "k2"]).where("lo < doc_id AND doc_id <= upto")
+    cut = cut.select("doc_id", "fp", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b"))
+    cut = cut.repartition(r, "doc_id", "fp").sortWithinPartitions("doc_id", "fp", "a")
+    spans, _ = materialize(cut.mapInArrow(tidied(_merge_spans), "doc_id long, fp long, spans array<struct<a:int,b:int>>"), "cuts")
     remove(spark, occ_path, found_path)
     return copies, spans
 
