@@ -16,8 +16,8 @@ from ribospark.llm.tokens import tokenizer_path
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose failure bits pass the policy that reads whole texts."""
-    return quality_rules.quality_ledger(docs, "v2").where("kept").select(*docs.columns)
+    """Documents whose failure bits pass the policy."""
+    return quality_rules.quality_ledger(docs).where("kept").select(*docs.columns)
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,8 +50,11 @@ def test_ledger(docs, spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     for r in quality_rules.ledger(df).collect():
         assert (r.n_words, r.n_repeat_words) == (len(r.text.split()), repeat_words(r.text.split()))
-    rows = quality_rules.ablations(quality_rules.ledger(df), quality_rules.POLICIES["v1"]).collect()
-    assert {r.rule for r in rows} == {r.name for r in quality_rules.RULES}
+    led = quality_rules.ledger(df)
+    rows = {r.rule: (r.failed, r.failed_alone, r.kept_without) for r in quality_rules.ablations(led, quality_rules.POLICIES["v1"]).collect()}
+    bits = [r.fail_bits for r in led.collect()]
+    want = {r.name: (sum(b >> r.bit & 1 for b in bits), sum(b == 1 << r.bit for b in bits), sum(b & ~(1 << r.bit) == 0 for b in bits)) for r in quality_rules.RULES}
+    assert rows == want
 
 
 def test_distinct_words_of_whole_texts(spark):
@@ -60,10 +63,11 @@ def test_distinct_words_of_whole_texts(spark):
     poor = lambda n: [f"poor{i}" for i in rng.integers(0, 12, n)]
     words = [fine(200) + poor(4000), poor(200) + fine(4000), fine(150), poor(150), fine(4000), poor(4000)]
     df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], "doc_id long, text string")
-    parts = [sum(len(set(w[i : i + 200])) for i in range(0, len(w), 200)) for w in words]
-    led = quality_rules.quality_ledger(df, "v2").orderBy("doc_id").collect()
-    assert [r.n_part_words for r in led] == parts
-    assert [bool(r.fail_bits & 256) for r in led] == [100 * p < 22 * len(w) for p, w in zip(parts, words)]
+    distinct = [len(set(w)) for w in words]
+    led = quality_rules.quality_ledger(df).orderBy("doc_id").collect()
+    assert [r.n_distinct_words for r in led] == distinct
+    least = [0.22 * len(w) if len(w) <= 200 else 44 * (len(w) / 200) ** (2 / 3) for w in words]
+    assert [bool(r.fail_bits & 128) for r in led] == [d < m for d, m in zip(distinct, least)]
     assert [r.doc_id for r in corpus_pipeline.quality_rules_stage(spark, df, "").orderBy("doc_id").collect()] == [1, 2, 4]
 
 
