@@ -41,7 +41,7 @@ MARK = "▁"
 #: Rows of a piece table that may be broadcast.
 MAX_PIECES = 2_000_000
 #: Characters of text whose words are numbered together.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 32_000_000
 BLOCK_ROWS = 60_000
 #: Characters of a word from which one row's substrings start.
 STRIDE = 256
@@ -164,22 +164,26 @@ def _words_of_range(t: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array([t.column("rng")[0].as_py()] * len(words), pa.int32()), words.cast(pa.large_string()).cast(pa.string())], ["rng", "word"])
 
 
-def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+def lattice(words: DataFrame, pieces: DataFrame, longest: int, singles: bool = True) -> DataFrame:
     """Edges of words (wid, word, ...): from character a, l of them, with the piece's id and score.
 
-    Every character has its row; ch is the character, id and score are null where it is no piece. All columns of
-    words but word are kept. A word's rows follow one another.
+    Every character has its row, with null id and score where it is no piece; without singles only a word's first
+    one has. head is the word, on that first row alone. All columns of words but word are kept. A word's rows
+    follow one another.
     """
     keep = [c for c in words.columns if c != "word"]
     spots = F.sequence(F.lit(0), F.length("word") - 1, F.lit(STRIDE))
     parts = F.transform(spots, lambda i: F.struct(i.alias("base"), F.substring(F.col("word"), i + 1, F.lit(STRIDE + longest - 1)).alias("part")))
-    x = words.where(F.length("word") > 0).select(*keep, F.explode(parts).alias("p")).select(*keep, "p.base", "p.part")
-    x = x.select(*keep, "base", "part", F.explode(F.sequence(F.lit(0), F.least(F.length("part"), F.lit(STRIDE)) - 1)).alias("i"))
-    x = x.select(*keep, (F.col("base") + F.col("i")).alias("a"), F.substring(F.col("part"), F.col("i") + 1, F.lit(longest)).alias("sub"))
-    x = x.select(*keep, "a", "sub", F.explode(F.sequence(F.lit(1), F.length("sub"))).alias("l"))
+    x = words.where(F.length("word") > 0).select(*keep, "word", F.explode(parts).alias("p"))
+    x = x.select(*keep, "p.base", "p.part", F.when(F.col("p.base") == 0, F.col("word")).alias("head"))
+    x = x.select(*keep, "base", "part", "head", F.explode(F.sequence(F.lit(0), F.least(F.length("part"), F.lit(STRIDE)) - 1)).alias("i"))
+    a = F.col("base") + F.col("i")
+    x = x.select(*keep, a.alias("a"), F.substring(F.col("part"), F.col("i") + 1, F.lit(longest)).alias("sub"), F.when(a == 0, F.col("head")).alias("head"))
+    first = F.lit(1) if singles else F.when(F.col("a") == 0, 1).otherwise(2)
+    x = x.where(first <= F.length("sub")).select(*keep, "a", "sub", "head", F.explode(F.sequence(first, F.length("sub"))).alias("l"))
     x = x.withColumn("piece", F.substring(F.col("sub"), F.lit(1), F.col("l"))).drop("sub")
     x = x.join(F.broadcast(pieces), "piece", "left").where((F.col("l") == 1) | F.col("id").isNotNull())
-    return x.select(*keep, "a", "l", "id", "score", F.when(F.col("l") == 1, F.col("piece")).alias("ch"))
+    return x.select(*keep, "a", "l", "id", "score", F.when(F.col("l") == 1, F.col("head")).alias("head"))
 
 
 def viterbi(edges: DataFrame, longest: int, unknown: float | None = None) -> DataFrame:
@@ -246,52 +250,43 @@ def merge(n: int, edges: dict[int, float], width: int) -> list[int]:
     return [a for a in range(n) if live[a]]
 
 
-def _merged(longest: int, byte0: int):
-    """Fold a byte-pair lattice's rows, word after word, to (rng, word without its mark, ids)."""
+def _merged(longest: int, byte0: int, singles: dict[str, int]):
+    """Fold a byte-pair lattice's rows (without singles), word after word, to (rng, word without its mark, ids)."""
     width = longest + 1
 
-    def fold(rows, lo, hi):
-        a, l, i, s, ch = rows
-        score, ids, chars = {}, {}, []
-        for x in range(lo, hi):
-            key = a[x] * width + l[x]
-            if l[x] == 1:
-                chars.append(ch[x])
-            if i[x] >= 0:
-                ids[key] = i[x]
-                if l[x] > 1:
-                    score[key] = s[x]
-        n, out = len(chars), []
-        cuts = merge(n, score, width) if score else list(range(n))
-        for x, y in zip(cuts, [*cuts[1:], n], strict=True):
-            found = ids.get(x * width + y - x)
-            if found is None:
-                out.extend(byte0 + c for c in chars[x].encode("utf-8", "surrogatepass"))
+    def fold(word, keys, scores, ids):
+        n, found, out = len(word), dict(zip(keys, ids, strict=True)), []
+        cuts = merge(n, dict(zip(keys, scores, strict=True)), width) if len(keys) > 1 else list(range(n))
+        cuts.append(n)
+        for x, y in zip(cuts, cuts[1:]):
+            i = found[x * width + y - x] if y - x > 1 else singles.get(word[x])
+            if i is None:
+                out.extend([byte0 + c for c in word[x].encode("utf-8", "surrogatepass")])
             else:
-                out.append(found)
-        return "".join(chars[1:]).encode("utf-8", "surrogatepass"), out
+                out.append(i)
+        return np.array(out, "<i4").tobytes()
 
     def run(it):
         held = None
         for b in it:
             t = pa.Table.from_batches([b])
             held = t if held is None else pa.concat_tables([held, t])
-            wid = held.column("wid").to_numpy()
-            if not len(wid) or wid[0] == wid[-1]:
+            heads = np.flatnonzero(held.column("head").is_valid().to_numpy())
+            if len(heads) < 2:
                 continue  # the word may go on
-            last = int(np.flatnonzero(wid != wid[-1])[-1]) + 1
-            yield out(held.slice(0, last))
-            held = held.slice(last)
+            yield out(held.slice(0, int(heads[-1])), heads[:-1])
+            held = held.slice(int(heads[-1]))
         if held is not None and len(held):
-            yield out(held)
-
-    def out(t):
-        wid = t.column("wid").to_numpy()
-        edges = [0, *(np.flatnonzero(np.diff(wid)) + 1).tolist(), len(wid)]
-        rows = [t.column("a").to_numpy().tolist(), t.column("l").to_numpy().tolist(), pc.fill_null(t.column("id"), -1).to_numpy().tolist(), pc.fill_null(t.column("score"), 0.0).to_numpy().tolist(), t.column("ch").to_pylist()]
-        found = [fold(rows, x, y) for x, y in zip(edges, edges[1:])]
-        rng = t.column("rng").to_numpy()[edges[:-1]]
-        cols = [pa.array(rng, pa.int32()), pa.array([w for w, _ in found], pa.binary()), pa.array([np.array(i, "<i4").tobytes() for _, i in found], pa.binary())]
+            yield out(held, np.flatnonzero(held.column("head").is_valid().to_numpy()))
+
+    def out(t, heads):
+        edges = [*heads.tolist(), len(t)]
+        keys = (t.column("a").to_numpy().astype(np.int64) * width + t.column("l").to_numpy()).tolist()
+        ids = pc.fill_null(t.column("id"), -1).to_numpy().tolist()
+        scores = pc.fill_null(t.column("score"), 0.0).to_numpy().tolist()
+        words = t.column("head").drop_null().to_pylist()
+        found = [fold(w, keys[x:y], scores[x:y], ids[x:y]) for w, x, y in zip(words, edges, edges[1:])]
+        cols = [pa.array(t.column("rng").to_numpy()[heads], pa.int32()), pa.array([w[1:].encode("utf-8", "surrogatepass") for w in words], pa.binary()), pa.array(found, pa.binary())]
         return pa.RecordBatch.from_arrays(cols, ["rng", "word", "ids"])
 
     return tidied(run)
@@ -299,9 +294,11 @@ def _merged(longest: int, byte0: int):
 
 def dictionary(words: DataFrame, pieces: DataFrame, longest: int, byte0: int, byte_pair: bool) -> DataFrame:
     """(rng, word without its mark, ids: little-endian 32-bit) of distinct words (rng, wid, word)."""
-    edges = lattice(words, pieces, longest)
     if byte_pair:
-        return edges.mapInArrow(_merged(longest, byte0), "rng int, word binary, ids binary")
+        singles = {r.piece: r.id for r in pieces.where(F.length("piece") == 1).collect()}  # of the model's pieces
+        edges = lattice(words.select("rng", "word"), pieces, longest, singles=False)
+        return edges.mapInArrow(_merged(longest, byte0, singles), "rng int, word binary, ids binary")
+    edges = lattice(words, pieces, longest)
     marked = words.join(viterbi(edges, longest), "wid")
     at = F.explode(F.transform("path", lambda p, k: F.struct(k.alias("k"), F.substring(F.col("word"), p["a"] + 1, p["l"]).alias("piece"))))
     each = marked.select("rng", "wid", "word", at.alias("p")).select("rng", "wid", "word", "p.*").join(F.broadcast(pieces), "piece", "left")
