@@ -173,14 +173,24 @@ def tier2_soft(seq: Column, s: Column, mfe: Column, on: bool = False) -> dict[st
     return {"tier2_enabled": F.lit(1.0), "tier2_pass": F.when(penalty <= 0, 1.0).otherwise(0.0)} | dict(zip(names, values, strict=True))
 
 
+def _stage(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    """df with cols, computed here: the optimizer does not copy an expression across a generator."""
+    one = F.explode(F.array(F.struct(*[c.alias(k) for k, c in cols.items()]))).alias("__g")
+    return df.select("*", one).select(*[F.col(f"`{c}`") for c in df.columns], "__g.*")
+
+
 def featurize(df: DataFrame, seq: str = "seq", struct: str = "struct", mfe: str = "mfe", tier2: bool = False) -> DataFrame:
     """df with all 86 features that it does not have yet; what several share is a column first, so it is computed once."""
     q, s, m = F.col(seq), F.col(struct), F.col(mfe)
     fold = F.when(F.length(s) > F.length(q), F.substring(s, F.lit(1), F.length(q))).otherwise(s)
-    x = df.withColumns({"__pairs": base_pairs(s), "__bulges": bulges(s), "__fold": fold})
-    x = x.withColumns({"__runs": stem_runs(F.col("__pairs")), "__sided": sided_bulges(F.col("__pairs"), F.col("__bulges")), "__best": largest_loop(F.col("__fold"), bulges(F.col("__fold")))})
-    x = x.withColumns({"__near": near_loop(q, F.col("__best")), **segment_parts(q, s)}).withColumns(segment_shares())
+    x = _stage(df, {"__pairs": base_pairs(s), "__bulges": bulges(s), "__fold": fold})
+    x = _stage(x, {"__runs": stem_runs(F.col("__pairs")), "__sided": sided_bulges(F.col("__pairs"), F.col("__bulges")), "__best": largest_loop(F.col("__fold"), bulges(F.col("__fold"))), **segment_parts(q, s)})
+    x = _stage(x, {"__near": near_loop(q, F.col("__best")), **segment_shares()})
     shares = {k: F.col(k) for k in segment_shares()}
-    cols = core(q, s, m) | composition(q, m) | shares | segment_slopes() | stems(q, F.col("__pairs"), F.col("__runs")) | bulge_features(F.col("__sided"))
-    cols |= loop_motifs(q, F.col("__fold"), F.col("__best"), F.col("__near")) | tier2_soft(q, s, m, tier2)
-    return x.select(*[df[c] for c in df.columns], *[c.alias(k) for k, c in cols.items() if k not in df.columns])
+    groups = (core(q, s, m), composition(q, m), shares | segment_slopes(), stems(q, F.col("__pairs"), F.col("__runs")), bulge_features(F.col("__sided")), loop_motifs(q, F.col("__fold"), F.col("__best"), F.col("__near")), tier2_soft(q, s, m, tier2))
+    out = list(df.columns)
+    for cols in groups:
+        new = {k: c for k, c in cols.items() if k not in out}
+        x = _stage(x, {f"__o_{k}": c for k, c in new.items()})
+        out += new
+    return x.select(*[F.col(f"__o_{c}").alias(c) if c not in df.columns else df[c] for c in out])

@@ -137,11 +137,11 @@ def heuristic_mature(s: Column) -> Column:
     return 0.4 * (F.length(s) - dots) / n + 0.3 * longest / n + 0.3 * (1 - dots / n)
 
 
-def pseudo_hairpin(seq: Column, s: Column, mfe: Column, longest: int = 120, energy: float = -15.0, pairs: int = 18, loops: int = 4) -> Column:
-    """Decoy gate: length, energy, pairs, 1..loops loops, a stem run of 10, at most 0.45 unpaired, second loop at most 8."""
-    inner = F.sort_array(inner_runs(s), asc=False)
+def pseudo_hairpin(seq: Column, s: Column, mfe: Column, longest: int = 120, energy: float = -18.0, pairs: int = 18, loops: int = 3) -> Column:
+    """Decoy gate: length, energy, pairs, 1..loops unpaired runs (ends too), a stem run of 10, at most 0.45 unpaired, second run at most 8."""
+    runs = F.sort_array(run_lengths(s), asc=False)
     stem = F.coalesce(F.array_max(run_lengths(s, r"\(+|\)+")), F.lit(0))
     return (
-        (F.length(seq) <= longest) & (mfe <= energy) & (num_pairs(s) >= pairs) & F.size(inner).between(1, loops) & (stem >= 10)
-        & (count_of(s, ".") / length1(s) <= 0.45) & (F.coalesce(F.get(inner, 1), F.lit(0)) <= 8)
+        (F.length(seq) <= longest) & (mfe <= energy) & (num_pairs(s) >= pairs) & F.size(runs).between(1, loops) & (stem >= 10)
+        & (count_of(s, ".") / length1(seq) <= 0.45) & (F.coalesce(F.get(runs, 1), F.lit(0)) <= 8)
     )

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 def collapse_pads(scored: DataFrame) -> DataFrame:
     """One row per base_id: pads seen, its best row (score, then lesser pad, then lesser hairpin), ties and an audit text."""
     big = lambda c: F.when(F.col(c).isNull() | (F.col(c) == 0), 1_000_000_000).otherwise(F.col(c))
-    x = scored.withColumn("rf_score", F.round("rf_score", 6))
+    x = scored.withColumn("rf_score", F.when(~F.isnan("rf_score"), F.round("rf_score", 6)))
     best = F.min(F.when(F.col("rf_score").isNotNull(), F.struct((-F.col("rf_score")).alias("k"), big("pad").alias("p"), big("hp_len").alias("h"), "pad", "rf_score", "pred_label"))).alias("b")
     rows = F.collect_list(F.struct("pad", "rf_score"))
     g = x.groupBy("base_id").agg(F.array_sort(F.collect_set("pad")).alias("pads_seen"), best, F.sort_array(F.collect_list("rf_score"), asc=False).alias("ss"), F.array_sort(rows).alias("rows"))
-    audit = F.array_join(F.transform("rows", lambda r: F.concat(r["pad"].cast("string"), F.lit(":"), F.format_string("%.6f", r["rf_score"]))), ",")
+    audit = F.array_join(F.transform(F.filter("rows", lambda r: r["rf_score"].isNotNull()), lambda r: F.concat(r["pad"].cast("string"), F.lit(":"), F.format_string("%.6f", r["rf_score"]))), ",")
     out = g.where(F.col("b").isNotNull())
     return out.select("base_id", F.array_join(F.transform("pads_seen", lambda p: p.cast("string")), ",").alias("pads_seen"), F.size("pads_seen").alias("n_pads"), F.col("b.pad").alias("best_pad"), F.col("b.rf_score").alias("best_rf_score"), F.col("b.pred_label").alias("best_pred_label"), F.coalesce(F.get("ss", 0) == F.get("ss", 1), F.lit(False)).alias("is_tie"), audit.alias("pad_scores"))
 
@@ -38,6 +38,20 @@ def best_row(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> Data
     return df.groupBy(*key).agg(first).select(*key, *[F.col(f"__b.{c}").alias(c) for c in rest])
 
 
+def best_of_scan(hits: DataFrame, key: Sequence[str], score: str = "rf_score", ties: Sequence[str] = ("start",)) -> DataFrame:
+    """The row of the greatest numeric score of each key; rows without one never win."""
+    real = hits.where(F.col(score).isNotNull() & ~F.isnan(score))
+    return best_row(real, key, [-F.col(score), *[F.col(c) for c in ties]])
+
+
+def pad_rejects(scored: DataFrame) -> DataFrame:
+    """Audit rows (base_id, reject_reason) of collapse_pads: a single pad, or no numeric score."""
+    real = F.count(F.when(F.col("rf_score").isNotNull() & ~F.isnan("rf_score"), 1))
+    g = scored.groupBy("base_id").agg(F.countDistinct("pad").alias("n"), real.alias("m"))
+    why = F.array_compact(F.array(F.when(F.col("n") < 2, "MissingPadVariant"), F.when(F.col("m") == 0, "NoNumericRFScore")))
+    return g.select("base_id", F.explode(why).alias("reject_reason"))
+
+
 def percent_of_best(df: DataFrame, key: str, score: str = "score") -> DataFrame:
     """Per key: (scores at most the best - 1) / (n - 1), 1 where n is 1."""
     g = df.groupBy(key).agg(F.max(score).alias("best"), F.count(score).alias("n"))

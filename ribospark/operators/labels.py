@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .intervals import center_in, overlap_bp, overlap_join, strand_ok, top_hit
+from .intervals import center_in, overlap_join, strand_ok
 
 
 def early_labels(pk: DataFrame, known: DataFrame) -> DataFrame:
@@ -19,8 +19,6 @@ def early_labels(pk: DataFrame, known: DataFrame) -> DataFrame:
     hits = overlap_join(pk, known).withColumns({"center_in": center_in(F.col("center0"), F.col("k_start0"), F.col("k_end0")), "strand_ok": strand_ok(F.col("strand"), F.col("k_strand"))})
     rank = F.when(F.col("known_feature") == "mature", 1).otherwise(0)
     inside = F.when(rank == 1, F.col("center_in").cast("int")).otherwise(0)
-    # Ids are compared from the end of the alphabet, so that the least wins a tie under max().
-    hits = hits.withColumn("k", F.col("known_id"))
     best = F.min(F.struct((-rank).alias("r"), (-inside).alias("i"), (-F.col("overlap_bp")).alias("o"), "known_id", "known_db", "known_feature", "overlap_bp", "center_in", "strand_ok")).alias("b")
     b = hits.groupBy("peak_id").agg(best).select("peak_id", *[f"b.{c}" for c in ("known_id", "known_db", "known_feature", "overlap_bp", "center_in", "strand_ok")])
     status = F.when(F.col("known_id").isNull(), "Unknown").when((F.col("known_feature") == "mature") & F.col("center_in") & F.col("strand_ok"), "Known-Confirmed").otherwise("Known-Region")
@@ -58,8 +56,8 @@ def late_labels(pk: DataFrame, known: DataFrame, slack: int = 2, least_bp: int =
 
 def norm_repeat(c: Column) -> Column:
     """Part before "/", upper case; null-like words are empty."""
-    x = F.upper(F.trim(F.split_part(F.coalesce(c, F.lit("")), F.lit("/"), F.lit(1))))
-    return F.when(x.isin("", "NA", "NONE", "NULL", "NAN", "."), "").otherwise(x)
+    x = F.trim(F.coalesce(c, F.lit("")))
+    return F.when(F.upper(x).isin("", "NA", "NONE", "NO", "NAN"), "").otherwise(F.upper(F.trim(F.split_part(x, F.lit("/"), F.lit(1)))))
 
 
 def ladder(status: Column, score: Column, label: Column, repeat: Column, block: Sequence[str] = ("SIMPLE_REPEAT", "LOW_COMPLEXITY", "SATELLITE"), allow: Sequence[str] = (), known_min: tuple[float, float] = (0.55, 0.65), novel_min: tuple[float, float] = (0.65, 0.75)) -> Column:
@@ -103,17 +101,23 @@ def stage_a(score5: Column, score3: Column, facing: Column) -> Column:
 
 
 def mature_choice(df: DataFrame, most_off: float = 20.0) -> DataFrame:
-    """df (seq, pad, start, end, length, len_mode) with the window around pad where the model's one lies too far off."""
+    """df (seq, pad, arm, start, end, length, score, mature_seq, len_mode) with the window around pad where the model's lies too far off.
+
+    The window is cut at the ends of seq, its score is the text 0.0; rows whose start or end is no number keep theirs.
+    """
     start, end = F.col("start").try_cast("int"), F.col("end").try_cast("int")
     far = (F.abs(F.col("pad") - (start + end) / 2) > most_off) & (F.length("seq") > 0) & (F.col("pad") > 0)
-    n = F.least(F.lit(24), F.greatest(F.lit(18), F.coalesce(F.col("len_mode"), F.col("length").try_cast("int"), F.lit(21))))
-    first = F.greatest(F.lit(0), F.least(F.length("seq") - n, (F.col("pad") - F.floor(n / 2)).cast("int")))
-    arm = F.when(first + n / 2 < F.length("seq") / 2, "5p").otherwise("3p")
+    n = F.least(F.lit(24), F.greatest(F.lit(18), F.coalesce(F.col("len_mode").try_cast("double").cast("int"), F.col("length").try_cast("int"), F.lit(21))))
+    half = F.floor(n / 2).cast("int")
+    first, last = F.greatest(F.lit(0), F.col("pad") - half), F.least(F.length("seq"), F.col("pad") + half + n % 2)
     over = F.coalesce(far, F.lit(False))
+    pick = lambda new, old: F.when(over, new).otherwise(F.col(old))
     return df.withColumns({
         "overridden": over,
-        "m_start": F.when(over, first.cast("string")).otherwise(F.col("start")),
-        "m_end": F.when(over, (first + n).cast("string")).otherwise(F.col("end")),
-        "m_arm": F.when(over, arm).otherwise(F.col("arm")),
-        "m_seq": F.when(over, F.substring(F.col("seq"), first + 1, n)).otherwise(F.col("mature_seq")),
+        "m_start": pick(first.cast("string"), "start"),
+        "m_end": pick(last.cast("string"), "end"),
+        "m_length": pick((last - first).cast("string"), "length"),
+        "m_arm": pick(F.when(first < F.length("seq") / 2, "5p").otherwise("3p"), "arm"),
+        "m_score": pick(F.lit("0.0"), "score"),
+        "m_seq": pick(F.col("seq").substr(first + 1, F.greatest(last - first, F.lit(0))), "mature_seq"),
     })

@@ -93,3 +93,10 @@ def probability_checks(df: DataFrame) -> DataFrame:
     by = df.groupBy(F.round("score", 4).alias("s")).agg(F.count("*").alias("n"), F.count_if((F.col("score") < 0) | (F.col("score") > 1)).alias("bad"))
     t = by.agg(F.sum("bad").alias("out_of_range"), F.count("*").alias("n_distinct"), (F.max("n") / F.sum("n")).alias("top_share"))
     return t.withColumns({"too_few": F.col("n_distinct") < 5, "concentrated": F.col("top_share") > 0.9})
+
+
+def scan_report(df: DataFrame, q95: float, score: str = "score") -> DataFrame:
+    """Count, median and whether it lies outside 0.1 to 0.5, scores above 0.9, and the count and share from q95 on."""
+    n, s = F.count("*"), F.col(score)
+    g = df.agg(n.alias("n"), F.median(score).alias("median"), F.count_if(s > 0.9).alias("above_09"), F.count_if(s >= q95).alias("above_q95"))
+    return g.select("n", "median", (~F.col("median").between(0.1, 0.5)).alias("off_band"), "above_09", "above_q95", (F.col("above_q95") / F.col("n")).alias("share_q95"))

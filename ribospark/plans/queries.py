@@ -183,9 +183,9 @@ def j5_x2_late_labels(spark, d):
     return labels.late_labels(_peaks(spark, d), v.known(spark, d)).select("peak_id", "known_status", "known_reason", "known_id", "known_db")
 
 
-REPEATS = ["", "LINE/L1", "Simple_repeat", "NA", "Satellite/x"]
-LADDER = LATE + f""", q AS (SELECT *, (start0 * 7) % 1000 / 1000 AS s, CASE WHEN start0 % 3 = 0 THEN 0 ELSE 1 END AS y, {REPEATS}[start0 % 5 + 1] AS rep FROM late),
-z AS (SELECT *, CASE WHEN rep IN ('', 'NA') THEN '' ELSE upper(trim(split_part(rep, '/', 1))) END AS rc FROM q),
+REPEATS = ["", "LINE/L1", "Simple_repeat", " no ", "Satellite/x", "NULL", "."]
+LADDER = LATE + f""", q AS (SELECT *, (start0 * 7) % 1000 / 1000 AS s, CASE WHEN start0 % 3 = 0 THEN 0 ELSE 1 END AS y, {REPEATS}[start0 % 7 + 1] AS rep FROM late),
+z AS (SELECT *, CASE WHEN upper(trim(rep)) IN ('', 'NA', 'NONE', 'NO', 'NAN') THEN '' ELSE upper(trim(split_part(rep, '/', 1))) END AS rc FROM q),
 final AS (SELECT *, CASE WHEN rc IN ('SIMPLE_REPEAT', 'LOW_COMPLEXITY', 'SATELLITE') THEN 'Reject' WHEN known_status = 'Known-Confirmed' THEN known_status
   WHEN known_status = 'Known-Atypical' THEN CASE WHEN s >= (CASE WHEN rc <> '' THEN 0.65 ELSE 0.55 END) THEN known_status ELSE 'Reject' END
   WHEN y = 1 AND s >= (CASE WHEN rc <> '' THEN 0.75 ELSE 0.65 END) THEN 'Novel-High' ELSE 'Reject' END AS final_label,
@@ -196,7 +196,7 @@ final AS (SELECT *, CASE WHEN rc IN ('SIMPLE_REPEAT', 'LOW_COMPLEXITY', 'SATELLI
 
 def _final(spark, d):
     x = labels.late_labels(_peaks(spark, d), v.known(spark, d))
-    rep = F.element_at(F.array(*map(F.lit, REPEATS)), (F.col("start0") % 5 + 1).cast("int"))
+    rep = F.element_at(F.array(*map(F.lit, REPEATS)), (F.col("start0") % 7 + 1).cast("int"))
     x = x.withColumns({"s": F.col("start0") * 7 % 1000 / 1000, "y": F.when(F.col("start0") % 3 == 0, 0).otherwise(1), "rep": rep})
     x = x.withColumns({"l": labels.ladder(F.col("known_status"), F.col("s"), F.col("y"), F.col("rep")), "repeat_class": labels.norm_repeat(F.col("rep"))})
     return x.select("peak_id", "known_db", "repeat_class", "s", "l.*")
@@ -353,9 +353,10 @@ def w17_overlap_nms(spark, d):
     return collapse.overlap_nms(x)
 
 
-@query("w18_best_of_scan", f"WITH {v.SCORED} SELECT base_id, arg_min(pad, {{'k': -rf_score, 'p': pad}}) AS pad, max(rf_score) AS rf_score FROM scored GROUP BY base_id")
+@query("w18_best_of_scan", f"WITH {v.SCORED}, z AS (SELECT base_id, pad, rf_score FROM scored WHERE start0 % 11 <> 0 AND (start0 % 13 <> 0 OR pad <> 70)) SELECT base_id, arg_min(pad, {{'k': -rf_score, 'p': pad}}) AS pad, max(rf_score) AS rf_score FROM z GROUP BY base_id")
 def w18_best_of_scan(spark, d):
-    return collapse.best_row(v.scored(spark, d).select("base_id", "pad", "rf_score"), ["base_id"], [-F.col("rf_score"), F.col("pad")])
+    score = F.when(F.col("start0") % 11 == 0, F.lit(None)).when((F.col("start0") % 13 == 0) & (F.col("pad") == 70), float("nan")).otherwise(F.col("rf_score"))
+    return collapse.best_of_scan(v.scored(spark, d).select("base_id", "pad", score.alias("rf_score")), ["base_id"], ties=["pad"])
 
 
 @query("x8_router", "SELECT CASE WHEN length(text) <= 120 THEN 'direct' WHEN length(text) <= 5000 THEN 'scan' ELSE 'too_long' END AS mode, count(*) AS n FROM documents GROUP BY ALL")

@@ -44,10 +44,15 @@ placed AS (
 def sequences(spark: SparkSession, d: str) -> DataFrame:
     """Every document's letters as bases, cut into consecutive pieces of CHUNK; id is doc_id * 10000 + piece."""
     letters = F.translate(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", ""), FROM, TO)
-    docs = load(spark, d, "documents").select("doc_id", letters.alias("s")).where(F.length("s") > 0)
-    piece = F.explode(F.sequence(F.lit(0), F.floor((F.length("s") - 1) / CHUNK).cast("int")))
-    docs = docs.select("doc_id", "s", piece.alias("k"))
-    return docs.select((F.col("doc_id") * 10000 + F.col("k")).alias("id"), F.substring("s", F.col("k") * CHUNK + 1, F.lit(CHUNK)).alias("seq"))
+    pieces = F.regexp_extract_all(letters, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    docs = spread(load(spark, d, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", F.posexplode(pieces).alias("k", "seq")).select((F.col("doc_id") * 10000 + F.col("k")).alias("id"), "seq")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its files give fewer tasks than half of them (one row group is one task)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * 4) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
 SEQUENCES = f"""sequences AS (

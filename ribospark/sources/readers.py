@@ -42,7 +42,7 @@ def read_bed6(spark: SparkSession, path: str, db: str, feature: str) -> DataFram
     x = spark.read.text(path).where(~F.col("value").rlike("^(#|track|browser)")).select(F.split("value", "\t", -1).alias("f"))
     s, e = F.get("f", 1).try_cast("long"), F.get("f", 2).try_cast("long")
     strand = F.when(F.get("f", 5).isin("+", "-"), F.get("f", 5)).otherwise(".")
-    return x.where((F.size("f") >= 6) & (e > s)).select(F.get("f", 0).alias("k_chrom"), s.alias("k_start0"), e.alias("k_end0"), strand.alias("k_strand"), F.get("f", 3).alias("known_id"), F.lit(db).alias("known_db"), F.lit(feature).alias("known_feature"))
+    return x.where((F.size("f") >= 6) & (e > s)).select(F.get("f", 0).alias("k_chrom"), s.alias("k_start0"), e.alias("k_end0"), strand.alias("k_strand"), F.coalesce(F.nullif(F.get("f", 3), F.lit("")), F.lit("NA")).alias("known_id"), F.lit(db).alias("known_db"), F.lit(feature).alias("known_feature"))
 
 
 def read_bed(spark: SparkSession, path: str, db: str = "bed") -> DataFrame:
@@ -56,7 +56,7 @@ def read_bed(spark: SparkSession, path: str, db: str = "bed") -> DataFrame:
 def gff3_attribute(attrs, name: str):
     """The last value of name in k=v;k=v; the first = splits."""
     hits = F.filter(F.split(attrs, ";"), lambda kv: F.trim(F.split(kv, "=", 2)[0]) == name)
-    return F.get(F.split(F.try_element_at(hits, F.lit(-1)), "=", 2), 1)
+    return F.trim(F.get(F.split(F.try_element_at(hits, F.lit(-1)), "=", 2), 1))
 
 
 def read_gff3(spark: SparkSession, path: str, db: str, mature: Sequence[str] = ("miRNA",), precursor: Sequence[str] = ("miRNA_primary_transcript", "pre_miRNA"), names: Sequence[str] = ("Name", "ID", "Alias", "Parent", "Derives_from")) -> DataFrame:
@@ -65,7 +65,7 @@ def read_gff3(spark: SparkSession, path: str, db: str, mature: Sequence[str] = (
     a = F.get("f", 8)
     kind = F.when(F.get("f", 2).isin(list(mature)), "mature").when(F.get("f", 2).isin(list(precursor)), "precursor")
     name = F.coalesce(*[F.nullif(gff3_attribute(a, n), F.lit("")) for n in names], F.lit("NA"))
-    out = x.select(F.get("f", 0).alias("k_chrom"), (F.get("f", 3).try_cast("long") - 1).alias("k_start0"), F.get("f", 4).try_cast("long").alias("k_end0"), F.get("f", 6).alias("k_strand"), name.alias("known_id"), F.lit(db).alias("known_db"), kind.alias("known_feature"))
+    out = x.select(F.get("f", 0).alias("k_chrom"), (F.get("f", 3).try_cast("long") - 1).alias("k_start0"), F.get("f", 4).try_cast("long").alias("k_end0"), F.when(F.get("f", 6).isin("+", "-"), F.get("f", 6)).otherwise(".").alias("k_strand"), name.alias("known_id"), F.lit(db).alias("known_db"), kind.alias("known_feature"))
     return out.where("known_feature IS NOT NULL AND k_start0 IS NOT NULL AND k_end0 > k_start0")
 
 
@@ -74,16 +74,20 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", header=True)
 
 
-def genome_chunks(fasta: DataFrame, size: int = 1 << 16, lap: int = 1024) -> DataFrame:
-    """chrom, chunk, seq of a genome (id, seq): pieces of size bases and lap more, so a short range lies in one."""
-    at = F.explode(F.sequence(F.lit(0), F.floor((F.greatest(F.length("seq"), F.lit(1)) - 1) / size)))
-    x = fasta.select(F.col("id").alias("chrom"), "seq", at.alias("chunk"))
-    return x.select("chrom", "chunk", F.upper(F.substring("seq", (F.col("chunk") * size + 1).cast("int"), F.lit(size + lap))).alias("seq"))
+def genome_chunks(fasta: DataFrame, size: int = 1 << 16) -> DataFrame:
+    """chrom, chunk, seq of a genome (id, seq): pieces of size bases."""
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.length("seq"), F.lit(1)) - 1) / size).cast("int")), lambda i: F.struct(i.cast("long").alias("chunk"), F.upper(F.substring(F.col("seq"), i * size + 1, F.lit(size))).alias("seq")))
+    return fasta.select(F.col("id").alias("chrom"), F.explode(cut).alias("c")).select("chrom", "c.chunk", "c.seq")
 
 
 def fetch(ranges: DataFrame, chunks: DataFrame, size: int = 1 << 16) -> DataFrame:
-    """ranges (chrom, start0, end0) with fetched: starts below 0 are clamped, "" where the genome lacks the range."""
+    """ranges (chrom, start0, end0) with fetched: starts below 0 are clamped, "" where the genome lacks the range; a range may span chunks."""
     s = F.greatest(F.col("start0"), F.lit(0))
-    x = ranges.withColumn("chunk", F.floor(s / size)).join(chunks, ["chrom", "chunk"], "left")
-    got = F.substring("seq", (s - F.col("chunk") * size + 1).cast("int"), F.greatest(F.col("end0") - s, F.lit(0)).cast("int"))
-    return x.withColumn("fetched", F.coalesce(got, F.lit(""))).drop("chunk", "seq")
+    e = F.greatest(F.col("end0"), s)
+    keys = ranges.select("chrom", "start0", "end0").distinct()
+    x = keys.withColumn("chunk", F.explode(F.sequence(F.floor(s / size), F.floor(F.greatest(e - 1, s) / size)))).join(chunks, ["chrom", "chunk"])
+    at = F.greatest(s - F.col("chunk") * size, F.lit(0))
+    part = F.col("seq").substr((at + 1).cast("int"), (F.least(e - F.col("chunk") * size, F.lit(size)) - at).cast("int"))
+    whole = x.groupBy("chrom", "start0", "end0").agg(F.array_sort(F.collect_list(F.struct("chunk", part.alias("p")))).alias("ps"))
+    whole = whole.select("chrom", "start0", "end0", F.array_join(F.transform("ps", lambda p: p["p"]), "").alias("fetched"))
+    return ranges.join(whole, ["chrom", "start0", "end0"], "left").withColumn("fetched", F.coalesce("fetched", F.lit("")))

@@ -30,7 +30,19 @@ def qc_json(df: DataFrame, stage: str, counters: dict) -> DataFrame:
     return g.select(F.to_json(F.struct(F.lit(stage).alias("stage"), *counters)).alias("value"))
 
 
+def place_of(df: DataFrame) -> DataFrame:
+    """A sorted frame with place, its rows' numbers from 1: counted per partition, then offset, in no single task."""
+    part = df.withColumns({"__p": F.spark_partition_id(), "__i": F.monotonically_increasing_id()})
+    part = part.withColumn("__i", F.col("__i").bitwiseAND((1 << 33) - 1)).persist()
+    sizes = part.groupBy("__p").agg(F.count("*").alias("__n"))
+    before = sizes.alias("a").join(sizes.select(F.col("__p").alias("__q"), F.col("__n").alias("__m")), F.col("__q") < F.col("__p"), "left")
+    offset = before.groupBy("__p").agg(F.coalesce(F.sum("__m"), F.lit(0)).alias("__o"))  # one row per partition
+    return part.join(F.broadcast(offset), "__p").withColumn("place", F.col("__o") + F.col("__i") + 1).drop("__p", "__i", "__o")
+
+
 def write_with_rejects(df: DataFrame, path: str, rejects: str) -> None:
-    """Rows without a reject_reason to path, the others to rejects; df is read once per sink."""
-    df.where("reject_reason IS NULL").drop("reject_reason").write.parquet(path)
-    df.where("reject_reason IS NOT NULL").write.parquet(rejects)
+    """Rows without a reject_reason to path, the others appended to rejects; df is computed once."""
+    held = df.persist()
+    held.where("reject_reason IS NULL").drop("reject_reason").write.parquet(path)
+    held.where("reject_reason IS NOT NULL").write.mode("append").parquet(rejects)
+    held.unpersist()

@@ -5,7 +5,9 @@ import decimal
 import duckdb
 import pytest
 
-from ribospark.plans.queries import ORACLES, QUERIES
+from ribospark.plans import queries, stage_queries
+
+ORACLES, QUERIES = queries.ORACLES | stage_queries.ORACLES, queries.QUERIES | stage_queries.QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

@@ -27,7 +27,7 @@ def test_alignments_and_fetch(spark, tmp_path):
     (tmp_path / "x.map").write_text("r1\t+\tchr1\t7\tACGT\tIIII\t0\t3:A>C,4:G>T\nr2\t-\tchr1\tx\tACGT\tIIII\nr3\t-\tchr1\t2\tAC\tII\t0\t\n")
     got = {r.rid: (r.start0, r.end0, r.nm) for r in readers.read_alignments(spark, str(tmp_path / "x.map")).collect()}
     assert got == {"r1": (7, 11, 2), "r3": (2, 4, 0)}
-    genome = readers.genome_chunks(spark.createDataFrame([("chr1", "acgtacgtac" * 3)], "id string, seq string"), size=10, lap=5)
+    genome = readers.genome_chunks(spark.createDataFrame([("chr1", "acgtacgtac" * 3)], "id string, seq string"), size=10)
     ranges = spark.createDataFrame([("chr1", -2, 3), ("chr1", 8, 13), ("chrX", 1, 2)], "chrom string, start0 long, end0 long")
     assert {(r.chrom, r.start0): r.fetched for r in readers.fetch(ranges, genome, 10).collect()} == {("chr1", -2): "ACG", ("chr1", 8): "ACACG", ("chrX", 1): ""}
 
