@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ribospark.operators.intervals import overlap_join
+
 KEY = ("chrom", "strand")
 
 
@@ -23,46 +25,42 @@ def library_counts(reads: DataFrame) -> DataFrame:
     return reads.agg(F.count("*").alias("mapped"), F.count_if("is_unique").alias("unique_maps"), F.count_if(~F.col("is_unique")).alias("multi_maps"))
 
 
-def with_islands(reads: DataFrame, gap: int = 50) -> DataFrame:
-    """Reads with island_start: a new island begins where a read starts more than gap past all before it.
-
-    Ties sort alike, so equal reads never change an island; ids follow (chrom, strand, start), not a
-    global counter.
-    """
-    w = Window.partitionBy(*KEY).orderBy("start0", "end0")
+def _locals(reads: DataFrame, gap: int, tile: int) -> DataFrame:
+    """Reads with the island that their own tile shows: __tile and local."""
+    w = Window.partitionBy(*KEY, "__tile").orderBy("start0", "end0")
     before = F.max("end0").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(before.isNull() | (F.col("start0") > before + gap), F.col("start0"))
-    marked = reads.withColumn("__new", new)
-    return marked.withColumn("island_start", F.last("__new", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
+    x = reads.withColumn("__tile", F.floor(F.col("start0") / tile))
+    x = x.withColumn("__new", F.when(before.isNull() | (F.col("start0") > before + gap), F.col("start0")))
+    return x.withColumn("local", F.last("__new", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
 
 
-def with_tiled_islands(reads: DataFrame, gap: int = 50, tile: int = 1 << 20) -> DataFrame:
-    """with_islands for skewed chromosomes: islands are found per tile and stitched where they touch an edge.
+def _stitch(local: DataFrame, gap: int) -> DataFrame:
+    """Tiles' islands (local, reach) with island_start. The window over a chromosome reads one row per island of a tile:
+    their number is bounded by the chromosome's length over gap, however many reads there are."""
+    w = Window.partitionBy(*KEY).orderBy("local")
+    before = F.max("reach").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    x = local.withColumn("__new", F.when(before.isNull() | (F.col("local") > before + gap), F.col("local")))
+    return x.withColumn("island_start", F.last("__new", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
 
-    Only one row per tile passes the second window, so a chromosome with most of the reads is still
-    spread over its tiles.
+
+def with_islands(reads: DataFrame, gap: int = 50, tile: int = 1 << 20) -> DataFrame:
+    """Reads with island_start: a new island begins where a read starts more than gap past all before it.
+
+    Ties sort alike, so equal reads never change an island; ids follow (chrom, strand, start), not a
+    global counter. Islands are found per tile, so one chromosome with most of the reads is still spread over
+    its tiles, and stitched where they touch an edge; only islands that an edge cuts need a new start.
     """
-    t = F.floor(F.col("start0") / tile)
-    w = Window.partitionBy(*KEY, "__tile").orderBy("start0", "end0").rowsBetween(Window.unboundedPreceding, -1)
-    tiled = reads.withColumn("__tile", t)
-    edge = tiled.groupBy(*KEY, "__tile").agg(F.max("end0").alias("reach"))
-    past = Window.partitionBy(*KEY).orderBy("__tile").rowsBetween(Window.unboundedPreceding, -1)
-    edge = edge.withColumn("carry", F.max("reach").over(past)).drop("reach")
-    x = tiled.join(edge, [*KEY, "__tile"])
-    before = F.greatest(F.max("end0").over(w), F.col("carry"))
-    x = x.withColumn("__new", F.when(before.isNull() | (F.col("start0") > before + gap), F.col("start0")))
-    last = Window.partitionBy(*KEY, "__tile").orderBy("start0", "end0").rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumn("__own", F.last("__new", ignorenulls=True).over(last))
-    ends = x.groupBy(*KEY, "__tile").agg(F.max("__new").alias("__last"))
-    ends = ends.withColumn("__from", F.last("__last", ignorenulls=True).over(past)).drop("__last")
-    x = x.join(ends, [*KEY, "__tile"])
-    return x.withColumn("island_start", F.coalesce("__own", "__from")).drop("__tile", "carry", "__new", "__own", "__from")
+    x = _locals(reads, gap, tile)
+    cut = _stitch(x.groupBy(*KEY, "__tile", "local").agg(F.max("end0").alias("reach")), gap).where("local <> island_start")
+    out = x.join(cut.select(*KEY, "local", F.col("island_start").alias("__from")), [*KEY, "local"], "left")
+    return out.select(*reads.columns, F.coalesce("__from", "local").alias("island_start"))
 
 
-def islands(reads: DataFrame, gap: int = 50) -> DataFrame:
-    """One row per island: its span, depth and distinct starts."""
-    by = with_islands(reads, gap).groupBy(*KEY, "island_start")
-    return by.agg(F.max("end0").alias("island_end"), F.count("*").alias("depth"), F.countDistinct("start0").alias("n_starts"))
+def islands(reads: DataFrame, gap: int = 50, tile: int = 1 << 20) -> DataFrame:
+    """One row per island: its span, depth and distinct starts. A start lies in one tile, so tiles' counts add up."""
+    per = _locals(reads, gap, tile).groupBy(*KEY, "__tile", "local").agg(F.max("end0").alias("reach"), F.count("*").alias("n"), F.countDistinct("start0").alias("s"))
+    g = _stitch(per, gap).groupBy(*KEY, "island_start")
+    return g.agg(F.max("reach").alias("island_end"), F.sum("n").alias("depth"), F.sum("s").alias("n_starts"))
 
 
 def depth_gate(isl: DataFrame, library: DataFrame, min_depth: int = 5, min_cpm: float = 0.5) -> DataFrame:
@@ -72,21 +70,23 @@ def depth_gate(isl: DataFrame, library: DataFrame, min_depth: int = 5, min_cpm:
     return out.where((F.col("depth") >= min_depth) & (F.col("cpm") >= min_cpm))
 
 
-def coverage(reads: DataFrame, by: tuple[str, ...] = (*KEY, "island_start")) -> DataFrame:
-    """Per-base coverage from +1 and -1 events: runs (from0, to0, cov) of equal depth above zero."""
+def _runs(reads: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Runs (from0, to0, cov) of equal depth from +1 and -1 events; between an island's reads the depth may be 0."""
     ends = reads.select(*by, F.explode(F.array(F.struct(F.col("start0").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("end0").alias("pos"), F.lit(-1).alias("d")))).alias("e"))
     steps = ends.groupBy(*by, F.col("e.pos").alias("from0")).agg(F.sum("e.d").alias("d"))
     w = Window.partitionBy(*by).orderBy("from0")
     out = steps.withColumns({"cov": F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0)), "to0": F.lead("from0").over(w)})
-    return out.where("cov > 0").drop("d")
+    return out.where("to0 IS NOT NULL").drop("d")
+
+
+def coverage(reads: DataFrame, by: tuple[str, ...] = (*KEY, "island_start")) -> DataFrame:
+    """Per-base coverage as runs (from0, to0, cov) of equal depth above zero."""
+    return _runs(reads, by).where("cov > 0")
 
 
 def base_signal(reads: DataFrame, by: tuple[str, ...] = (*KEY, "island_start")) -> DataFrame:
     """Dense per-base coverage of each island, uncovered bases between its reads included as 0."""
-    span = reads.groupBy(*by).agg(F.min("start0").alias("lo"), F.max("end0").alias("hi"))
-    dense = span.select(*by, F.explode(F.sequence("lo", F.col("hi") - 1)).alias("pos"))
-    runs = coverage(reads, by).select(*by, F.explode(F.sequence("from0", F.col("to0") - 1)).alias("pos"), "cov")
-    return dense.join(runs, [*by, "pos"], "left").withColumn("cov", F.coalesce("cov", F.lit(0)))
+    return _runs(reads, by).select(*by, F.explode(F.sequence("from0", F.col("to0") - 1)).alias("pos"), "cov")
 
 
 def smooth(signal: DataFrame, width: int = 5, by: tuple[str, ...] = (*KEY, "island_start")) -> DataFrame:
@@ -143,8 +143,10 @@ def stack_stats(pk: DataFrame, reads: DataFrame, window: int = 15, by: tuple[str
 
     The mode of the lengths and the dominant start go to the one that comes first in (start0, end0) order.
     """
-    p, r = pk.select(*by, "pos"), reads.select(*by, "start0", "end0")
-    hit = p.join(r, list(by)).where("end0 > pos - {0} AND start0 < pos + {0} + 1".format(window))
+    p = pk.select(*by, "pos", (F.col("pos") - window).alias("__s"), (F.col("pos") + window + 1).alias("__e"))
+    r = reads.select(*[F.col(c).alias(f"__{c}") for c in by], "start0", "end0")
+    # Bins of position keep a deep island's peaks from meeting all of its reads.
+    hit = overlap_join(p, r, ("__s", "__e"), ("start0", "end0"), [(c, f"__{c}") for c in by], width=64)
     k = [*by, "pos"]
     hit = hit.withColumn("len", F.col("end0") - F.col("start0"))
     starts = hit.groupBy(*k, "start0").agg(F.count("*").alias("n"))

@@ -35,7 +35,7 @@ def w1_islands(spark, d):
 
 @query("w1_tiled_islands", f"WITH {v.READS}, {v.ISLANDS} SELECT chrom, strand, island_start, max(end0) AS island_end, count(*) AS depth FROM placed GROUP BY ALL")
 def w1_tiled_islands(spark, d):
-    r = islands.with_tiled_islands(v.reads(spark, d), tile=50_000)
+    r = islands.with_islands(v.reads(spark, d), tile=50_000)
     return r.groupBy("chrom", "strand", "island_start").agg(F.max("end0").alias("island_end"), F.count("*").alias("depth"))
 
 
@@ -291,7 +291,17 @@ def _staged(spark, d):
     return x.withColumn("near", ft.near_loop(F.col("seq"), F.col("best")))
 
 
-@query("f10_segments")
+def _segment_sql() -> str:
+    """Shares of GC and opening brackets of four parts; a part that the sequence is too short for is null."""
+    size = lambda i: "greatest(length(seq) // 4, 1)" if i < 3 else "greatest(length(seq) - 3 * greatest(length(seq) // 4, 1), 0)"
+    part = lambda c, i: f"substr({c}, {i} * greatest(length(seq) // 4, 1) + 1, {size(i)})"
+    gc = lambda i: f"(length({part('seq', i)}) - length(replace(replace({part('seq', i)}, 'G', ''), 'C', ''))) / nullif(length({part('seq', i)}), 0)"
+    pf = lambda i: f"2.0 * (length({part('struct', i)}) - length(replace({part('struct', i)}, '(', ''))) / nullif(length({part('seq', i)}), 0)"
+    cols = [f"{gc(i)} AS seg{i + 1}_gc, {pf(i)} AS seg{i + 1}_paired_frac" for i in range(4)]
+    return f"WITH {v.FOLDED}, p AS (SELECT id, {', '.join(cols)} FROM folded) SELECT *, CASE WHEN seg1_gc IS NOT NULL THEN coalesce(seg4_gc, 0) - seg1_gc END AS gc_grad_last_first, CASE WHEN seg1_gc IS NOT NULL THEN coalesce(seg4_paired_frac, 0) - seg1_paired_frac END AS paired_grad_last_first FROM p"
+
+
+@query("f10_segments", _segment_sql())
 def f10_segments(spark, d):
     x = v.folded(spark, d)
     x = x.withColumns(ft.segment_parts(F.col("seq"), F.col("struct"))).withColumns(ft.segment_shares())
@@ -346,7 +356,11 @@ def a6_collapse_pads(spark, d):
     return collapse.collapse_pads(v.scored(spark, d))
 
 
-@query("w17_overlap_nms")
+@query("w17_overlap_nms", f"""WITH {v.SEQUENCES}, w AS (SELECT id, seq, length(seq) AS n FROM sequences), s AS (SELECT id, seq, unnest(list_concat(range(0, greatest(n - 40, 0) + 1, 7), CASE WHEN n > 40 AND (n - 40) % 7 <> 0 THEN [n - 40] ELSE [] END)) AS start FROM w),
+h AS (SELECT id, start AS s, start + 40 AS e, (length(substr(seq, start + 1, 40)) - length(replace(replace(substr(seq, start + 1, 40), 'G', ''), 'C', ''))) / greatest(length(substr(seq, start + 1, 40)), 1) AS score FROM s),
+o AS (SELECT id, list({{'s': s, 'e': e, 'score': score}} ORDER BY score DESC, s) AS r FROM h GROUP BY id),
+k AS (SELECT id, unnest(list_reduce(list_transform(r, lambda x: [x]), lambda a, x: CASE WHEN len(list_filter(a, lambda q: greatest(0, least(q.e, x[1].e) - greatest(q.s, x[1].s)) / 40 >= 0.7)) > 0 THEN a ELSE list_concat(a, x) END)) AS x FROM o)
+SELECT id AS input_id, x.s AS start, x.e AS "end", x.score AS score FROM k""")
 def w17_overlap_nms(spark, d):
     x = v.sequences(spark, d).select(F.col("id").alias("input_id"), "seq", F.explode(sq.windows(F.col("seq"), 40, 7)).alias("start"))
     x = x.select("input_id", "start", (F.col("start") + 40).alias("end"), sq.gc_fraction(F.substring("seq", F.col("start") + 1, F.lit(40))).alias("score"))
