@@ -43,6 +43,8 @@ MAX_PIECES = 2_000_000
 #: Characters of text whose words are numbered together.
 BLOCK_CHARS = 32_000_000
 BLOCK_ROWS = 60_000
+#: Words of a dictionary that are packed together.
+PACK_WORDS = 50_000
 #: Characters of a word from which one row's substrings start.
 STRIDE = 256
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*")
@@ -250,8 +252,34 @@ def merge(n: int, edges: dict[int, float], width: int) -> list[int]:
     return [a for a in range(n) if live[a]]
 
 
+def _packed(rng: np.ndarray, words: list[bytes], ids: list[bytes]) -> pa.RecordBatch:
+    """(rng, blob): words and their ids, those of one range together."""
+    order = np.argsort(rng, kind="stable")
+    names, first = np.unique(rng[order], return_index=True)
+    blobs = []
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(order)]):
+        w, i = [words[x] for x in order[a:b]], [ids[x] for x in order[a:b]]
+        sizes = (np.fromiter(map(len, x), np.uint32, len(x)) for x in (w, i))
+        blobs.append(pack_arrays(*sizes, np.frombuffer(b"".join(w), np.uint8), np.frombuffer(b"".join(i), "<u4")))
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["rng", "blob"])
+
+
+def unpack_words(blobs: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    """Words and ids of a dictionary's blobs."""
+    parts = [unpack_arrays(b) for b in blobs]
+    if not parts:
+        return pa.array([], pa.large_binary()), pa.array([], pa.large_binary())
+    return pa.concat_arrays([_binary(w, f) for w, _, f, _ in parts]), pa.concat_arrays([_binary(i, g.view(np.uint8)) for _, i, _, g in parts])
+
+
+def _pack_rows(it):
+    for b in it:
+        if len(b):
+            yield _packed(b.column("rng").to_numpy(), b.column("word").to_pylist(), b.column("ids").to_pylist())
+
+
 def _merged(longest: int, byte0: int, singles: dict[str, int]):
-    """Fold a byte-pair lattice's rows (without singles), word after word, to (rng, word without its mark, ids)."""
+    """Fold a byte-pair lattice's rows (without singles), word after word, to packed words without their mark and ids."""
     width = longest + 1
 
     def fold(word, keys, scores, ids):
@@ -286,18 +314,29 @@ def _merged(longest: int, byte0: int, singles: dict[str, int]):
         scores = pc.fill_null(t.column("score"), 0.0).to_numpy().tolist()
         words = t.column("head").drop_null().to_pylist()
         found = [fold(w, keys[x:y], scores[x:y], ids[x:y]) for w, x, y in zip(words, edges, edges[1:])]
-        cols = [pa.array(t.column("rng").to_numpy()[heads], pa.int32()), pa.array([w[1:].encode("utf-8", "surrogatepass") for w in words], pa.binary()), pa.array(found, pa.binary())]
-        return pa.RecordBatch.from_arrays(cols, ["rng", "word", "ids"])
+        return [t.column("rng").to_numpy()[heads], [w[1:].encode("utf-8", "surrogatepass") for w in words], found]
 
-    return tidied(run)
+    def packed(it):
+        rng, words, ids = [], [], []
+        for r, w, i in run(it):
+            rng.append(r)
+            words.extend(w)
+            ids.extend(i)
+            if len(words) >= PACK_WORDS:
+                yield _packed(np.concatenate(rng), words, ids)
+                rng, words, ids = [], [], []
+        if words:
+            yield _packed(np.concatenate(rng), words, ids)
+
+    return tidied(packed)
 
 
 def dictionary(words: DataFrame, pieces: DataFrame, longest: int, byte0: int, byte_pair: bool) -> DataFrame:
-    """(rng, word without its mark, ids: little-endian 32-bit) of distinct words (rng, wid, word)."""
+    """(rng, blob) of distinct words (rng, wid, word): packed words without their mark and ids, for unpack_words."""
     if byte_pair:
         singles = {r.piece: r.id for r in pieces.where(F.length("piece") == 1).collect()}  # of the model's pieces
         edges = lattice(words.select("rng", "word"), pieces, longest, singles=False)
-        return edges.mapInArrow(_merged(longest, byte0, singles), "rng int, word binary, ids binary")
+        return edges.mapInArrow(_merged(longest, byte0, singles), "rng int, blob binary")
     edges = lattice(words, pieces, longest)
     marked = words.join(viterbi(edges, longest), "wid")
     at = F.explode(F.transform("path", lambda p, k: F.struct(k.alias("k"), F.substring(F.col("word"), p["a"] + 1, p["l"]).alias("piece"))))
@@ -307,7 +346,8 @@ def dictionary(words: DataFrame, pieces: DataFrame, longest: int, byte0: int, by
     as_bytes = F.array_join(F.transform(F.sequence(F.lit(0), (F.length(raw) / 2 - 1).cast("int")), lambda i: hex4(F.conv(F.substring(raw, 2 * i + 1, F.lit(2)), 16, 10).cast("int") + byte0)), "")
     each = each.withColumn("h", F.when(F.col("id").isNotNull(), hex4(F.col("id"))).otherwise(as_bytes))
     whole = each.groupBy("rng", "wid", "word").agg(F.array_sort(F.collect_list(F.struct("k", "h"))).alias("hs"))
-    return whole.select("rng", F.encode(F.substr("word", F.lit(2)), "utf-8").alias("word"), F.unhex(F.array_join(F.transform("hs", lambda x: x["h"]), "")).alias("ids"))
+    whole = whole.select("rng", F.encode(F.substr("word", F.lit(2)), "utf-8").alias("word"), F.unhex(F.array_join(F.transform("hs", lambda x: x["h"]), "")).alias("ids"))
+    return whole.mapInArrow(_pack_rows, "rng int, blob binary")
 
 
 def _take(values: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -320,8 +360,7 @@ def _take(values: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _answer(asks: pa.Table, known: pa.Table) -> pa.Table:
     """Per block that asked one range: the ids of its words, in the order of asking."""
     out = []
-    words = known.column("word").combine_chunks().cast(pa.large_binary())
-    ids = known.column("ids").combine_chunks()
+    words, ids = unpack_words(known.column("blob").to_pylist())
     for blob in asks.column("blob").to_pylist():
         at = pc.index_in(_binary(*unpack_arrays(blob)), value_set=words).to_numpy()
         sizes, flat = _take(ids, at)

@@ -60,5 +60,6 @@ def test_viterbi_against_all_paths(spark):
 def test_unigram_dictionary(spark):
     pieces = spark.createDataFrame([("▁", 1, -2.0), ("▁ab", 2, -1.0), ("a", 3, -3.0), ("b", 4, -3.0), ("ba", 5, -1.5)], "piece string, id int, score double")
     words = spark.createDataFrame([(0, 0, "▁abba"), (0, 1, "▁é"), (0, 2, "▁")], "rng int, wid long, word string")
-    got = {bytes(r.word).decode(): np.frombuffer(r.ids, "<i4").tolist() for r in sl.dictionary(words, pieces, 3, 100, False).collect()}
+    found, ids = sl.unpack_words([bytes(r.blob) for r in sl.dictionary(words, pieces, 3, 100, False).collect()])
+    got = {w.decode(): np.frombuffer(i, "<i4").tolist() for w, i in zip(found.to_pylist(), ids.to_pylist())}
     assert got == {"abba": [2, 5], "é": [1, 100 + 0xC3, 100 + 0xA9], "": [1]}
