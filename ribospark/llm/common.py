@@ -90,6 +90,12 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of df's files by the optimizer's estimate; 0 where it has none."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else 0
+
+
 def pack_arrays(*arrays: np.ndarray) -> bytes:
     """One compressed blob: per array its dtype, length and transposed bytes (high bytes together)."""
     import zstandard

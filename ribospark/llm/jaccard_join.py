@@ -3,9 +3,10 @@
 Two documents link when their sets of distinct 5-word shingles have a similarity of 0.75 or more.
 
 1. *Boundary test.* A document that links with any other shares at least 3/4 of its shingles with other
-   documents. Tasks send sorted, delta-coded shingle hashes to ranges; a range answers how many of a
-   document's shingles any other document also holds. Shortened hashes can only overcount. Documents below
-   the bound link with nothing and end here.
+   documents. Tasks send blocks of documents as sorted, delta-coded shingle hashes to ranges; a range answers
+   each block with one packed array: how many of its documents' shingles any other text also holds. Shortened
+   hashes can only overcount. Each text is judged by its own numbers; texts below the bound link with nothing
+   and end here.
 2. *Copies.* Documents with equal sets form a class; its least doc_id stands for it from here on.
 3. *Voronoi regions.* The pivots are the singletons {s} of shared shingles, ordered from the rarest.
    d(A, {s}) is ``1 - 1/|A|`` if A holds s and 1 otherwise, so A's nearest pivots are its own shingles, and
@@ -28,25 +29,27 @@ components are exact, and a spanning subset of the links of large regions is kno
    don't travel. So the links returned are whole.
 
 Edge cases: a null or wordless text has an empty set and links with nothing; with fewer than 5 words the
-whole sequence is the only shingle; rows with the same doc_id are one document with all their texts'
-links; a null doc_id is one row with null component; an empty table gives an empty result; extra columns
-are ignored.
+whole sequence is the only shingle; rows with the same doc_id are one document with all their texts' links
+and the greatest n_shingles (n_links is the greatest of its texts' numbers, and the texts of one least doc_id
+count as one class); a null doc_id is one row with null component; an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, mix64, pack_arrays, partitions, remove, table, unpack_arrays
+from .common import connected_components, input_bytes, materialize, mix64, pack_arrays, partitions, remove, table, unpack_arrays
 from .tokens import slices
 
 NGRAM = 5
 SMALL = 8
-#: Hash ranges of the boundary test, at least.
-MIN_RANGES = 32
+#: Bytes of the input for a hash range of the boundary test, at most; the session's partitions are the least number.
+RANGE_BYTES = 128 << 20
 #: Members of a large region that are compared with as many others in one task.
 BLOCK = 256
 SPLITS = 2
@@ -84,12 +87,16 @@ def shingles(text: str | None, n: int = NGRAM) -> np.ndarray:
     return np.unique(mix64(h))
 
 
+SENT = "rng int, block long, blob binary"
+KINDS = (pa.int32(), pa.int64(), pa.binary())
+
+
 def _send(n: int, ranges: int, keep: int):
-    """Blocks of documents as blobs of their shingles for each range, and a blob of the sets' sizes."""
+    """Blocks of documents: a blob of their shingles for each range, and one of the sets' sizes under a negative range."""
 
-    def blobs(ids, sets):
+    def blobs(block, ids, sets):
         sizes = np.array([len(x) for x in sets], np.int64)
-        yield -1 - int(ids[0] if ids[0] is not None else 0) % ranges, (np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], np.uint8), sizes)
+        yield -1 - block % ranges, (np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], np.uint8), sizes)
         h = np.concatenate(sets) if sets else np.empty(0, np.uint64)
         d = np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
         order = np.argsort(h, kind="stable")
@@ -102,10 +109,10 @@ def _send(n: int, ranges: int, keep: int):
                 part = h[a:b] & np.uint64((1 << keep) - 1)
                 o = np.argsort(part, kind="stable")
                 docs, at = np.unique(d[a:b][o], return_inverse=True)
-                key = np.array([ids[i] or 0 for i in docs], np.int64)
-                yield r, (np.diff(part[o], prepend=np.uint64(0)), at.astype(np.uint16 if len(docs) < 65536 else np.uint32), np.diff(key, prepend=0))
+                yield r, (np.diff(part[o], prepend=np.uint64(0)), at.astype(np.uint16 if len(docs) < 65536 else np.uint32), np.diff(docs, prepend=np.uint32(0)))
 
     def run(it):
+        part, made = TaskContext.get().partitionId(), 0
         ids, sets, held = [], [], 0
         for b in (x for whole in it for x in slices(whole)):
             for k, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
@@ -113,44 +120,52 @@ def _send(n: int, ranges: int, keep: int):
                 sets.append(shingles(t, n))
                 held += len(t or "")
                 if held >= BLOCK_CHARS or len(ids) >= 60_000:
-                    yield from out(ids, sets)
-                    ids, sets, held = [], [], 0
+                    yield from out((part << 24) + made, ids, sets)
+                    ids, sets, held, made = [], [], 0, made + 1
         if ids:
-            yield from out(ids, sets)
+            yield from out((part << 24) + made, ids, sets)
 
-    def out(ids, sets):
-        for r, arrays in blobs(ids, sets):
-            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([pack_arrays(*arrays)], pa.binary())], ["rng", "blob"])
+    def out(block, ids, sets):
+        for r, arrays in blobs(block, ids, sets):
+            row = r, block, pack_arrays(*arrays)
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, KINDS, strict=True)], ["rng", "block", "blob"])
 
     return run
 
 
 def _shared(t: pa.Table) -> pa.Table:
-    """For one range: how many of each document's shingles another document also holds."""
-    names, kinds = ("doc_id", "n", "shared"), (pa.int64(), pa.int64(), pa.int64())
-    blobs = t.column("blob").to_pylist()
+    """For one range, an answer to each block: how many of its documents' shingles another text also holds."""
     if t.column("rng")[0].as_py() < 0:
-        parts = [unpack_arrays(b) for b in blobs]
-        ids, null, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        cols = [pa.array(ids, pa.int64(), mask=null.astype(bool)), pa.array(n, pa.int64()), pa.nulls(len(n), pa.int64())]
-        return pa.Table.from_arrays(cols, names)
-    hs, ds, keys, base = [], [], [], 0
-    for b in blobs:
+        return t.select(["rng", "block", "blob"])
+    hs, ds, sizes, docs = [], [], [], []
+    for b in t.column("blob").to_pylist():
         h, d, k = unpack_arrays(b)
-        hs.append(np.cumsum(h, dtype=np.uint64).astype(np.uint32) if len(h) and h.sum() < 1 << 32 else np.cumsum(h, dtype=np.uint64))
-        ds.append(d.astype(np.int64) + base)
-        keys.append(np.cumsum(k))
-        base += len(k)
-    h, d, keys = np.concatenate(hs), np.concatenate(ds), np.concatenate(keys)
+        hs.append(np.cumsum(h, dtype=np.uint64).astype(np.uint32))
+        ds.append(d.astype(np.int64) + sum(sizes))
+        docs.append(np.cumsum(k, dtype=np.uint32))
+        sizes.append(len(k))
+    h, d = np.concatenate(hs), np.concatenate(ds)
     order = np.argsort(h, kind="stable")
     h, d = h[order], d[order]
     same = h[1:] == h[:-1]
     twice = np.zeros(len(h), bool)
     twice[1:] |= same
     twice[:-1] |= same
-    count = np.bincount(d[twice], minlength=base)
-    has = np.flatnonzero(count)
-    return pa.Table.from_arrays([pa.array(keys[has]), pa.nulls(len(has), pa.int64()), pa.array(count[has].astype(np.int64))], names)
+    count = np.split(np.bincount(d[twice], minlength=sum(sizes)).astype(np.uint32), np.cumsum(sizes)[:-1])
+    blobs = [pack_arrays(np.diff(k[c > 0], prepend=np.uint32(0)), c[c > 0]) for k, c in zip(docs, count, strict=True)]
+    return pa.Table.from_arrays([t.column("rng"), t.column("block"), pa.chunked_array([pa.array(blobs, pa.binary())])], ["rng", "block", "blob"])
+
+
+def _judge(t: pa.Table) -> pa.Table:
+    """For one block: its texts' sizes, and whether enough of their shingles are shared."""
+    rows = sorted(zip(t.column("rng").to_pylist(), t.column("blob").to_pylist(), strict=True))
+    ids, null, n = unpack_arrays(rows[0][1])
+    shared = np.zeros(len(n), np.int64)
+    for _, blob in rows[1:]:
+        d, c = unpack_arrays(blob)
+        shared[np.cumsum(d, dtype=np.uint32)] += c
+    cols = [pa.array(ids, pa.int64(), mask=null.astype(bool)), pa.array(n, pa.int64()), pa.array((n > 0) & (4 * shared >= 3 * n))]
+    return pa.Table.from_arrays(cols, ["doc_id", "n", "linkable"])
 
 
 def _sets(n: int):
@@ -273,23 +288,26 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM, all_links: bool = True) -> tup
     to connect whatever links.
     """
     spark = docs.sparkSession
-    r = max(MIN_RANGES, partitions(spark))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sent = docs.mapInArrow(_send(n, r, 32), "rng int, blob binary")
-    replies = sent.groupBy("rng").applyInArrow(_shared, "doc_id long, n long, shared long")
-    sized, _ = materialize(replies.groupBy("doc_id").agg(F.max("n").alias("n"), F.coalesce(F.sum("shared"), F.lit(0)).alias("shared")), "sizes")
-    cand = sized.where("n > 0 AND doc_id IS NOT NULL AND 4 * shared >= 3 * n").select("doc_id")
+    r = max(partitions(spark), input_bytes(docs) // RANGE_BYTES)
+    sent = docs.mapInArrow(_send(n, r, 32), SENT).repartition(r, "rng")
+    replies = sent.groupBy("rng").applyInArrow(_shared, SENT)
+    judged = replies.groupBy("block").applyInArrow(_judge, "doc_id long, n long, linkable boolean")
+    sized, _ = materialize(judged.groupBy("doc_id").agg(F.max("n").alias("n"), F.max("linkable").alias("linkable")), "sizes")
+    cand = sized.where("linkable AND doc_id IS NOT NULL").select("doc_id")
     side = F.broadcast(cand) if cand.count() <= MAX_BROADCAST_IDS else cand
     sets, _ = materialize(docs.join(side, "doc_id", "left_semi").mapInArrow(_sets(n), "doc_id long, n long, f1 long, f2 long, sh array<long>"), "sets")
-    classes = sets.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
-    members, _ = materialize(sets.select("doc_id", "f1", "f2", "n").join(classes, ["f1", "f2", "n"]).select("doc_id", "rep", "n").distinct(), "members")
-    reps = members.where("doc_id = rep").select("doc_id", "n")
-    sets, _ = materialize(sets.join(reps, ["doc_id", "n"]).select("doc_id", "n", "sh").dropDuplicates(["doc_id", "n"]), "sets")
+    classes = sets.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
+    members, _ = materialize(sets.select("doc_id", "f1", "f2", "n").join(classes, ["f1", "f2", "n"]).select("doc_id", "rep", "n", "f1", "f2").distinct(), "members")
+    # A doc_id's different sets of one size are told apart by v.
+    reps = members.where("doc_id = rep").groupBy("doc_id", "n").agg(F.sort_array(F.collect_set(F.struct("f1", "f2"))).alias("fs"))
+    reps = reps.select("doc_id", "n", F.posexplode("fs").alias("v", "f")).select("doc_id", "n", "v", "f.f1", "f.f2")
+    sets, _ = materialize(sets.join(reps, ["doc_id", "n", "f1", "f2"]).select("doc_id", "n", "v", "sh").dropDuplicates(["doc_id", "n", "v"]), "sets")
 
     # Regions: pivots from the rarest, and the window's first ones of each document.
-    each = sets.select("doc_id", "n", F.explode("sh").alias("s"))
+    each = sets.select("doc_id", "n", "v", F.explode("sh").alias("s"))
     held = each.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
-    own = each.join(held, "s").groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("ps"))
+    own = each.join(held, "s").groupBy("doc_id", "n", "v").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("ps"))
     reach = F.expr("n - ceil(3 * n / 4) + 1 - (n - size(ps))").cast("int")
     rare = F.col("n") - F.size("ps")
     first = F.transform(F.slice("ps", 1, F.greatest(reach, F.lit(1))), lambda p, i: F.struct(p["df"].alias("df"), p["s"].alias("s"), (rare + i).alias("at")))
@@ -332,7 +350,9 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM, all_links: bool = True) -> tup
         more = more.select(*_pair("doc_id", "o")).distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
         known, _ = materialize(known.unionAll(_verify(more, sets)), "links")
     links = known.where(LINKED)
-    label, _ = materialize(connected_components(links.select("a", "b")), "labels")
+    # A doc_id with several texts connects their classes.
+    bridges = members.groupBy("doc_id").agg(F.collect_set("rep").alias("r")).where(F.size("r") > 1).select(F.array_min("r").alias("a"), F.explode("r").alias("b"))
+    label, _ = materialize(connected_components(links.select("a", "b").unionAll(bridges)), "labels")
     of = members.join(label.withColumnRenamed("id", "rep"), "rep", "left").groupBy("doc_id").agg(F.min("rep").alias("rep"), F.min(F.coalesce("component", "rep")).alias("c"))
     out = sized.join(of, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), "rep", F.coalesce("c", "doc_id").alias("component_id"))
     if not all_links:
@@ -340,7 +360,7 @@ def jaccard_join(docs: DataFrame, n: int = NGRAM, all_links: bool = True) -> tup
     links, _ = materialize(links.unionAll(_links_of_large(large, sets)).distinct(), "links")
     copies = members.groupBy("rep").agg(F.countDistinct("doc_id").alias("copies"))
     both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = both.join(copies.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("copies").alias("near"))
+    near = both.distinct().join(copies.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("copies").alias("near"))
     count = copies.join(near, "rep", "left").select("rep", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("k"))
     count = members.join(count, "rep").groupBy("doc_id").agg(F.max("k").alias("k"))
     return out.join(count, "doc_id", "left").withColumn("n_links", F.coalesce("k", F.lit(0)).cast("long")).drop("k"), links
