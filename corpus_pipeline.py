@@ -1,7 +1,8 @@
 """Corpus pipeline: quality rules, quality classifier, near-duplicate join, repeated passages, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all documents that its predecessor kept; all but the
-last return the columns of documents. run() writes each stage's rows to the shared folder and reads them
+last return the columns of documents. Nulls, empty texts, repeated rows and empty tables pass as the operators'
+docstrings say; of equal rows of a document that is no copy of another, the near-duplicate stage keeps one. run() writes each stage's rows to the shared folder and reads them
 again, so a lost executor never reaches behind a stage.
 """
 
@@ -21,8 +22,12 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the positive-unlabelled classifier, fitted on this stage's input, takes for good."""
-    model = quality_classifier.fit_documents(docs, table(spark, sf_dir, "labels"))
+    """Documents that the positive-unlabelled classifier takes for good.
+
+    It is fitted on the documents as they were read: behind the rules hardly any bad text is left among the
+    unlabelled, and a model that must tell some of them from the positives would reject clean ones.
+    """
+    model = quality_classifier.fit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return quality_classifier.score_documents(docs, model).where("predicted = 1").select(*docs.columns)
 
 
