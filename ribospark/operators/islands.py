@@ -5,6 +5,7 @@ A read is (chrom, strand, start0, end0, ...) with 0-based half-open coordinates.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -178,3 +179,68 @@ def mono_sequence(depth: Column, distinct_seqs: Column) -> Column:
 def bad_lengths(frac_20_24: Column, len_mode: Column) -> Column:
     """Off in the current chain, on in the older one."""
     return (frac_20_24 < 0.3) & ~len_mode.between(20, 24)
+
+
+def legacy_merge(pk: DataFrame, least: int = 8, by: tuple[str, ...] = (*KEY, "island_start")) -> DataFrame:
+    """The older merge: by falling height, a peak stays if all kept ones are at least that far away."""
+    return height_nms(pk, least - 1, by)
+
+
+def _flat_tops(y: np.ndarray) -> np.ndarray:
+    """Middles (rounded down) of runs of equal values that both neighbours lie below; runs at the ends are none."""
+    first = np.flatnonzero(np.concatenate(([True], y[1:] != y[:-1])))
+    last = np.append(first[1:], len(y)) - 1
+    v = y[first]
+    top = np.zeros(len(v), bool)
+    top[1:-1] = (v[1:-1] > v[:-2]) & (v[1:-1] > v[2:])
+    return (first[top] + last[top]) // 2
+
+
+def prominent_peaks(y: np.ndarray, distance: int, prominence: float | None = None, width: tuple[float, float] | None = None) -> np.ndarray:
+    """Places of local maxima at least distance apart (higher ones first, of equal ones the later), then by prominence and width.
+
+    Prominence: height above the higher of the least values on both sides, each up to a higher value. Width: at half
+    the prominence, between the crossings nearest to the peak, interpolated.
+    """
+    at = _flat_tops(y)
+    keep = np.ones(len(at), bool)
+    for i in np.lexsort((at, y[at]))[::-1]:
+        if keep[i]:
+            near = np.abs(at - at[i]) < distance
+            near[i] = False
+            keep &= ~near
+    out = []
+    least = max(1.0, 0.05 * y.max()) if prominence is None else prominence
+    for p in at[keep].tolist():
+        above = np.flatnonzero(y > y[p])
+        i = np.searchsorted(above, p)
+        a, b = (above[i - 1] + 1 if i else 0), (above[i] if i < len(above) else len(y))
+        prom = y[p] - max(y[a : p + 1].min(), y[p:b].min())
+        if prom < least:
+            continue
+        if width is not None:
+            # the bases are the places nearest to the peak where each side is least
+            lo, hi = p - np.argmin(y[a : p + 1][::-1]), p + np.argmin(y[p:b])
+            half = y[p] - prom / 2
+            left, right = p, p
+            while left > lo and y[left] > half:
+                left -= 1
+            while right < hi and y[right] > half:
+                right += 1
+            start = left + (half - y[left]) / (y[left + 1] - y[left]) if y[left] < half else left
+            end = right - (half - y[right]) / (y[right - 1] - y[right]) if y[right] < half else right
+            if not width[0] <= end - start <= width[1]:
+                continue
+        out.append(p)
+    return np.array(out, np.int64)
+
+
+def peaks_by_prominence(signal: DataFrame, distance: int = 35, prominence: float | None = None, width: tuple[float, float] | None = None, by: tuple[str, ...] = (*KEY, "island_start")) -> DataFrame:
+    """prominent_peaks of each island's signal (pos, y), one island at a time; the default prominence is max(1, 0.05 top)."""
+    x = signal.select(*by, F.col("pos").cast("long").alias("pos"), F.col("y").cast("double").alias("y"))
+
+    def find(pdf):
+        pdf = pdf.sort_values("pos", ignore_index=True)
+        return pdf.iloc[prominent_peaks(pdf["y"].to_numpy(), distance, prominence, width)]
+
+    return x.groupBy(*by).applyInPandas(find, x.schema)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ribospark.functions import features as ft
 from ribospark.functions import sequence as sq
 from ribospark.functions import structure as st
-from ribospark.operators import collapse, labels, mature, models, stages, stats
+from ribospark.operators import collapse, islands, labels, mature, models, negatives, stages, stats
 from ribospark.plans import queries as q
 from ribospark.plans import views as v
 
@@ -357,3 +357,68 @@ def w20_v20_predict_mature(spark, d):
 @query("w21_best_windows")
 def w21_best_windows(spark, d):
     return mature.best_windows(v.folded(spark, d))
+
+
+# Negative sets and peaks of the older and the optional path.
+
+
+@query("p17_a28_decoys", f"""WITH {v.SEQUENCES}, p AS (SELECT DISTINCT replace(seq, 'U', 'T') AS t FROM sequences WHERE id % 7 = 0),
+r AS (SELECT CASE id % 5 WHEN 0 THEN 'tRNA|' WHEN 1 THEN 'SNORNA-' WHEN 2 THEN 'x_rRNA_' WHEN 3 THEN 'snRNA' ELSE 'y' END || id AS id, seq, replace(seq, 'U', 'T') AS t FROM sequences),
+s AS (SELECT *, CASE WHEN contains(lower(id), 'trna') THEN 'tRNA' WHEN contains(lower(id), 'snorna') THEN 'snoRNA' WHEN contains(lower(id), 'rrna') THEN 'rRNA' ELSE 'unknown' END AS source FROM r)
+SELECT id, seq, source, length(seq) AS len, 'N3|source=' || source || '|id=' || id || '|len=' || length(seq) AS neg_id,
+  CASE WHEN length(seq) NOT BETWEEN 50 AND 200 THEN 'len' WHEN t IN (SELECT t FROM p) THEN 'dup' WHEN source = 'unknown' THEN 'source' END AS reject_reason FROM s""")
+def p17_a28_decoys(spark, d):
+    s = v.sequences(spark, d)
+    form = F.element_at(F.array(*[F.lit(x) for x in ("tRNA|", "SNORNA-", "x_rRNA_", "snRNA", "y")]), (F.col("id") % 5 + 1).cast("int"))
+    return negatives.decoys(s.select(F.concat(form, F.col("id").cast("string")).alias("id"), "seq"), s.where("id % 7 = 0"), ("tRNA", "snoRNA", "rRNA"))
+
+
+@query("f30_p18_shuffled_negatives")
+def f30_p18_shuffled_negatives(spark, d):
+    return negatives.shuffled_negatives(v.sequences(spark, d), _fold, per_seq=2)
+
+
+@query("f31_mono_shuffles")
+def f31_mono_shuffles(spark, d):
+    return negatives.mono_shuffles(v.sequences(spark, d), 2, tries=2).select("id", "i", "shuffled")
+
+
+@query("p30_v17_negatives_report", """WITH t AS (SELECT p_partkey AS k, p_partkey % 19 AS m, substr(repeat('ACGGU', 20), 1, p_partkey % 30 + 1) AS seq FROM part),
+n AS (SELECT *, CASE k % 4 WHEN 0 THEN 'N1|orig=h' || k || '|gc=0.5|mfe=-' || m || '.7|seed=42' WHEN 1 THEN 'N2|chr' || m || ':' || k || '-' || (k + 90) || '|mfe_nt=-0.3' WHEN 2 THEN 'N3|source=tRNA|id=d' || k || '|len=9' ELSE 'other|id=' || k END AS id FROM t),
+e AS (SELECT *, (length(seq) - length(replace(replace(seq, 'G', ''), 'C', ''))) / length(seq) AS gc,
+  CASE k % 4 WHEN 0 THEN ('-' || m || '.7')::DOUBLE WHEN 1 THEN -0.3::DOUBLE * length(seq) END AS mfe, CASE k % 4 WHEN 0 THEN ('-' || m || '.7')::DOUBLE / length(seq) WHEN 1 THEN -0.3::DOUBLE END AS per FROM n)
+SELECT ['N1_composition', 'N2_scan_matched', 'N3_decoy', 'unknown'][k % 4 + 1] AS bucket, id, CASE k % 4 WHEN 0 THEN 'h' || k WHEN 2 THEN 'd' || k ELSE 'NA' END AS source_id,
+  CASE WHEN k % 4 = 1 THEN 'chr' || m ELSE 'NA' END AS chr, CASE WHEN k % 4 = 1 THEN k::VARCHAR ELSE 'NA' END AS start, CASE WHEN k % 4 = 1 THEN (k + 90)::VARCHAR ELSE 'NA' END AS "end",
+  length(seq) AS len, printf('%.3f', gc) AS gc, coalesce(printf('%.1f', mfe), 'NA') AS mfe, coalesce(printf('%.3f', per), 'NA') AS mfe_per_nt, 'NA' AS paired_frac,
+  ['dinuc_shuffle', 'scan_extracted', 'mirbase_decoy', ''][k % 4 + 1] AS notes FROM e""")
+def p30_v17_negatives_report(spark, d):
+    text = lambda c: c.cast("string")
+    k, m = F.col("p_partkey"), F.col("p_partkey") % 19
+    forms = [F.concat(F.lit("N1|orig=h"), text(k), F.lit("|gc=0.5|mfe=-"), text(m), F.lit(".7|seed=42")), F.concat(F.lit("N2|chr"), text(m), F.lit(":"), text(k), F.lit("-"), text(k + 90), F.lit("|mfe_nt=-0.3"))]
+    forms += [F.concat(F.lit("N3|source=tRNA|id=d"), text(k), F.lit("|len=9")), F.concat(F.lit("other|id="), text(k))]
+    seq = F.lit("ACGGU" * 20).substr(F.lit(1), (k % 30 + 1).cast("int"))
+    return negatives.negatives_report(v.load(spark, d, "part").select(F.element_at(F.array(*forms), (k % 4 + 1).cast("int")).alias("neg_id"), seq.alias("seq")))
+
+
+@query("o10_scan_background", f"WITH {v.LABELLED}, c AS (SELECT count(*) AS n FROM labelled WHERE label = 0) SELECT 1.0 AS sample_weight, n FROM c WHERE n > 0 UNION ALL SELECT 0.2, least(500, floor(0.05::DOUBLE / 0.95::DOUBLE * n)::BIGINT) FROM c WHERE floor(0.05::DOUBLE / 0.95::DOUBLE * n) > 0")
+def o10_scan_background(spark, d):
+    x = v.labelled(spark, d)
+    out = negatives.inject_background(x.where("label = 0"), x.where("label = 1"), "doc_id")
+    return out.groupBy("sample_weight").agg(F.count("*").alias("n"))
+
+
+@query("w15_genome_windows", f"WITH {GENOME}, w AS (SELECT chrom, s, unnest(range(0, length(s) - 59, 30)) AS start0 FROM genome) SELECT chrom, start0, start0 + 60 AS end0, substr(s, start0 + 1, 60) AS seq FROM w")
+def w15_genome_windows(spark, d):
+    letters = F.translate(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", ""), v.FROM, v.TO)
+    return negatives.genome_windows(v.spread(v.load(spark, d, "documents")).select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("id"), letters.alias("seq")), 60, 30)
+
+
+@query("w11_legacy_merge", q.BASES_SQL + """, o AS (SELECT chrom, strand, island_start, list(pos ORDER BY y DESC, pos) AS ps FROM pk GROUP BY ALL)
+SELECT chrom, strand, island_start, unnest(list_reduce(list_prepend([]::BIGINT[], list_transform(ps, lambda p: [p])), lambda a, x: CASE WHEN len(list_filter(a, lambda q: abs(q - x[1]) < 8)) > 0 THEN a ELSE list_concat(a, x) END)) AS pos FROM o""")
+def w11_legacy_merge(spark, d):
+    return islands.legacy_merge(islands.peaks(q._signal(spark, d)))
+
+
+@query("w9_prominent_peaks")
+def w9_prominent_peaks(spark, d):
+    return islands.peaks_by_prominence(q._signal(spark, d), width=(1, 60)).withColumn("y", F.round("y", 6))

@@ -69,6 +69,29 @@ def read_gff3(spark: SparkSession, path: str, db: str, mature: Sequence[str] = (
     return out.where("known_feature IS NOT NULL AND k_start0 IS NOT NULL AND k_end0 > k_start0")
 
 
+def read_gff3_any(spark: SparkSession, path: str, db: str) -> DataFrame:
+    """All GFF3 rows with a kind inferred from the type, an ontology term, or the name's arm suffix, else "other"."""
+    x = spark.read.text(path).where(~F.col("value").startswith("#")).select(F.split("value", "\t", -1).alias("f")).where(F.size("f") == 9)
+    a, t = F.get("f", 8), F.lower(F.get("f", 2))
+    given = lambda *names: F.coalesce(*[F.nullif(gff3_attribute(a, n), F.lit("")) for n in names])
+    # fixed values: feature types and the words of ontology terms
+    term = F.coalesce(F.lower(given("so_term", "Ontology_term")), F.lit(""))
+    kind = (
+        F.when(t.isin("mirna", "mature_mirna", "mature-mirna"), "mature")
+        .when(t.isin("mirna_primary_transcript", "pri_mirna", "pre_mirna", "mirna_precursor", "stem_loop", "hairpin"), "precursor")
+        .when(term.contains("mature"), "mature")
+        .when(term.rlike("precursor|stem|hairpin"), "precursor")
+        .when(F.lower(given("Name", "ID")).rlike("-[53]p$"), "mature")
+        .otherwise("other")
+    )
+    s0, e0 = F.get("f", 3).try_cast("long") - 1, F.get("f", 4).try_cast("long")
+    strand = F.when(F.get("f", 6).isin("+", "-", "."), F.get("f", 6)).otherwise(".")
+    place = F.concat(F.lit(f"{db}:"), F.get("f", 0), F.lit(":"), s0.cast("string"), F.lit("-"), e0.cast("string"), F.lit(":"), strand)
+    known = F.coalesce(given("ID", "Name", "Alias"), place)
+    out = x.select(F.get("f", 0).alias("chrom"), s0.alias("start0"), e0.alias("end0"), strand.alias("strand"), F.lit(db).alias("db"), kind.alias("feature"), known.alias("id"), F.coalesce(given("Name", "ID"), known).alias("name"))
+    return out.where("start0 IS NOT NULL AND end0 IS NOT NULL")
+
+
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     """A table with a header, all values text."""
     return spark.read.csv(path, sep="\t", header=True)
