@@ -9,16 +9,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def collapse_pads(scored: DataFrame) -> DataFrame:
-    """One row per base_id: pads seen, its best row (score, then lesser pad, then lesser hairpin), ties and an audit text."""
+def collapse_pads(scored: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per base_id: pads seen, its best row (score, then lesser pad, then lesser hairpin), ties and an audit text.
+
+    carry: columns of the best row to keep. Scores are compared as they are and shown with six places; of rows with one
+    pad the audit text has the last by hairpin length and score. Groups without a numeric score are left out (pad_rejects).
+    """
     big = lambda c: F.when(F.col(c).isNull() | (F.col(c) == 0), 1_000_000_000).otherwise(F.col(c))
-    x = scored.withColumn("rf_score", F.when(~F.isnan("rf_score"), F.round("rf_score", 6)))
-    best = F.min(F.when(F.col("rf_score").isNotNull(), F.struct((-F.col("rf_score")).alias("k"), big("pad").alias("p"), big("hp_len").alias("h"), "pad", "rf_score", "pred_label"))).alias("b")
-    rows = F.collect_list(F.struct("pad", "rf_score"))
+    x = scored.withColumn("rf_score", F.when(~F.isnan("rf_score"), F.col("rf_score")))
+    best = F.min(F.when(F.col("rf_score").isNotNull(), F.struct((-F.col("rf_score")).alias("k"), big("pad").alias("p"), big("hp_len").alias("h"), "pad", "rf_score", "pred_label", *carry))).alias("b")
+    rows = F.collect_list(F.struct("pad", "hp_len", "rf_score"))
     g = x.groupBy("base_id").agg(F.array_sort(F.collect_set("pad")).alias("pads_seen"), best, F.sort_array(F.collect_list("rf_score"), asc=False).alias("ss"), F.array_sort(rows).alias("rows"))
-    audit = F.array_join(F.transform(F.filter("rows", lambda r: r["rf_score"].isNotNull()), lambda r: F.concat(r["pad"].cast("string"), F.lit(":"), F.format_string("%.6f", r["rf_score"]))), ",")
-    out = g.where(F.col("b").isNotNull())
-    return out.select("base_id", F.array_join(F.transform("pads_seen", lambda p: p.cast("string")), ",").alias("pads_seen"), F.size("pads_seen").alias("n_pads"), F.col("b.pad").alias("best_pad"), F.col("b.rf_score").alias("best_rf_score"), F.col("b.pred_label").alias("best_pred_label"), F.coalesce(F.get("ss", 0) == F.get("ss", 1), F.lit(False)).alias("is_tie"), audit.alias("pad_scores"))
+    g = g.where(F.col("b").isNotNull()).withColumn("rows", F.filter("rows", lambda r: r["rf_score"].isNotNull() & r["pad"].isNotNull()))
+    last = F.filter("rows", lambda r, i: ~F.coalesce(F.get("rows", i + 1)["pad"] == r["pad"], F.lit(False)))
+    audit = F.array_join(F.transform(last, lambda r: F.concat(r["pad"].cast("string"), F.lit(":"), F.format_string("%.6f", r["rf_score"]))), ",")
+    tie = F.coalesce(F.get("ss", 0) == F.get("ss", 1), F.lit(False))
+    kept = [F.col("b")[c].alias(c) for c in carry]
+    return g.select("base_id", F.array_join(F.transform("pads_seen", lambda p: p.cast("string")), ",").alias("pads_seen"), F.size("pads_seen").alias("n_pads"), F.col("b.pad").alias("best_pad"), F.round("b.rf_score", 6).alias("best_rf_score"), F.col("b.pred_label").alias("best_pred_label"), tie.alias("is_tie"), audit.alias("pad_scores"), *kept)
 
 
 def overlap_nms(hits: DataFrame, key: str = "input_id", share: float = 0.7) -> DataFrame:

@@ -350,8 +350,8 @@ def f28_heuristic_mature(spark, d):
 # Collapse, suppression, samples.
 
 
-@query("a6_collapse_pads", f"""WITH {v.SCORED} SELECT base_id, string_agg(pad::VARCHAR, ',' ORDER BY pad) AS pads_seen, count(DISTINCT pad)::INT AS n_pads, arg_min(pad, {{'k': -round(rf_score, 6), 'p': pad, 'h': hp_len}}) AS best_pad, max(round(rf_score, 6)) AS best_rf_score,
-arg_min(pred_label, {{'k': -round(rf_score, 6), 'p': pad, 'h': hp_len}}) AS best_pred_label, count(DISTINCT round(rf_score, 6)) = 1 AS is_tie, string_agg(pad || ':' || printf('%.6f', rf_score), ',' ORDER BY pad) AS pad_scores FROM scored GROUP BY base_id""")
+@query("a6_collapse_pads", f"""WITH {v.SCORED} SELECT base_id, string_agg(pad::VARCHAR, ',' ORDER BY pad) AS pads_seen, count(DISTINCT pad)::INT AS n_pads, arg_min(pad, {{'k': -rf_score, 'p': pad, 'h': hp_len}}) AS best_pad, round(max(rf_score), 6) AS best_rf_score,
+arg_min(pred_label, {{'k': -rf_score, 'p': pad, 'h': hp_len}}) AS best_pred_label, count(DISTINCT rf_score) = 1 AS is_tie, string_agg(pad || ':' || printf('%.6f', rf_score), ',' ORDER BY pad) AS pad_scores FROM scored GROUP BY base_id""")
 def a6_collapse_pads(spark, d):
     return collapse.collapse_pads(v.scored(spark, d))
 

@@ -42,11 +42,11 @@ placed AS (
 
 
 def sequences(spark: SparkSession, d: str) -> DataFrame:
-    """Every document's letters as bases, cut into consecutive pieces of CHUNK; id is doc_id * 10000 + piece."""
+    """Every document's letters as bases, cut into consecutive pieces of CHUNK; id is doc_id * 10^9 + piece."""
     letters = F.translate(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", ""), FROM, TO)
     pieces = F.regexp_extract_all(letters, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
     docs = spread(load(spark, d, "documents").select("doc_id", "text"))
-    return docs.select("doc_id", F.posexplode(pieces).alias("k", "seq")).select((F.col("doc_id") * 10000 + F.col("k")).alias("id"), "seq")
+    return docs.select("doc_id", F.posexplode(pieces).alias("k", "seq")).select((F.col("doc_id").cast("bigint") * 1_000_000_000 + F.col("k")).alias("id"), "seq")
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 SEQUENCES = f"""sequences AS (
-  SELECT doc_id * 10000 + k AS id, substr(s, k * {CHUNK} + 1, {CHUNK}) AS seq FROM (
+  SELECT doc_id::BIGINT * 1000000000 + k AS id, substr(s, k * {CHUNK} + 1, {CHUNK}) AS seq FROM (
     SELECT doc_id, s, unnest(range(0, (length(s) - 1) // {CHUNK} + 1)) AS k FROM (
       SELECT doc_id, translate(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g'), '{FROM}', '{TO}') AS s FROM documents) WHERE length(s) > 0))"""
 

@@ -178,6 +178,10 @@ def test_scan_choice_and_pads_with_nulls_and_ties(spark):
     assert {(r.base_id, r.pad) for r in collapse.best_of_scan(df, ["base_id"], ties=["pad"]).collect()} == {("x", 100), ("z", 70)}
     got = {r.base_id: (r.best_pad, r.is_tie, r.pad_scores) for r in collapse.collapse_pads(df).collect()}
     assert got == {"x": (100, False, "100:0.500000"), "z": (70, True, "70:0.250000,100:0.250000")}
+    near = [("n", 70, 0.1234561, 1, 50, "a"), ("n", 100, 0.1234562, 1, 50, "b"), ("n", 100, 0.1, 0, 60, "c"), ("n", None, 0.05, 0, 60, "d")]
+    near = spark.createDataFrame(near, "base_id string, pad int, rf_score double, pred_label int, hp_len int, note string")
+    r = collapse.collapse_pads(near, ["note"]).first()
+    assert (r.best_pad, r.is_tie, r.note, r.best_rf_score, r.pads_seen) == (100, False, "b", 0.123456, "70,100") and r.pad_scores == "70:0.123456,100:0.100000"
     assert {tuple(r) for r in collapse.pad_rejects(df).collect()} == {("y", "MissingPadVariant"), ("y", "NoNumericRFScore")}
 
 
