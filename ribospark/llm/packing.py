@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, table, tidied
 from .tokens import encoder, slices, tokenizer_path
 
 CAPACITY = 1024
@@ -129,8 +129,9 @@ def _pieces(path: str, spaces: str, end_id: int, capacity: int):
                         rows.append((bucket, ranks[n], k, p, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])))
                         ranks[n] += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+        enc.shrink()
 
-    return run
+    return tidied(run)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, spaces: str, end_id: int = 2, capacity: int = CAPACITY) -> tuple[DataFrame, str]:
@@ -161,7 +162,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield pa.RecordBatch.from_arrays(keep + new, ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     out = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return pieces.join(before, ["bucket", "length"]).mapInArrow(place, out)
+    return pieces.join(before, ["bucket", "length"]).mapInArrow(tidied(place), out)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, spaces: str = "lead", end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:

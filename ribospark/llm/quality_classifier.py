@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import small_batches, table, tidied
 
 #: Texts of either kind that the model is fitted on, about.
 MAX_SAMPLE = 20_000
@@ -207,7 +207,7 @@ def fit_documents(docs: DataFrame, labels: DataFrame, sample: int = MAX_SAMPLE)
     ids = ids.select("doc_id", F.coalesce("positive", F.lit(False)).alias("positive")).distinct()
     # The sample has about 2 * sample rows whatever the input is, so its ids may be broadcast.
     rows = learn.join(F.broadcast(ids), "doc_id").select("doc_id", "positive", "text")
-    got = rows.select("positive", "text").mapInArrow(_measure, "positive boolean, x array<double>").toPandas()
+    got = rows.select("positive", "text").mapInArrow(tidied(_measure), "positive boolean, x array<double>").toPandas()
     if got.empty:
         return None
     x = np.array(got["x"].tolist())
@@ -233,7 +233,7 @@ def score_documents(docs: DataFrame, model: PUClassifier | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], [*names, "score"])
 
     schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
-    return docs.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return docs.mapInArrow(tidied(run), schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op5_quality_classifier(spark, sf_dir: str) -> DataFrame:

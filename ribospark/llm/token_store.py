@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import wavelet
-from .common import materialize, partitions, scratch_root, table
+from .common import materialize, partitions, scratch_root, table, tidied
 from .tokens import encoder, slices, tokenizer_path
 
 SHARD_TOKENS = 1 << 21
@@ -57,8 +57,9 @@ def _shards(path: str, spaces: str, end_id: int, shard_tokens: int):
                         yield close()
         if docs:
             yield close()
+        enc.shrink()
 
-    return run
+    return tidied(run)
 
 
 def write_tokens(docs: DataFrame, out: str, tokenizer: str, spaces: str, end_id: int = 2, shard_tokens: int = SHARD_TOKENS) -> str:
@@ -84,7 +85,7 @@ def _digests(it):
 def read_digests(spark, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each stored document, from the shards' own bytes."""
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    rows = shards.mapInArrow(_digests, "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long")
+    rows = shards.mapInArrow(tidied(_digests), "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long")
     sizes = shards.select("part", "seq", "n_tokens")
     # Totals of the ranges first (a row per range), then of the shards within each range.
     before = F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
