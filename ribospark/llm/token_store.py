@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import wavelet
 from .common import materialize, partitions, scratch_root, table, tidied
-from .tokens import encoder, slices, tokenizer_path
+from .tokens import encoder, gathered, slices, tokenizer_path
 
 SHARD_TOKENS = 1 << 21
 SHARD_SCHEMA = "part int, seq int, n_docs int, n_tokens long, payload binary"
@@ -45,16 +45,15 @@ def _shards(path: str, spaces: str, end_id: int, shard_tokens: int):
             names = ("part", "seq", "n_docs", "n_tokens", "payload")
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types, strict=True)], names)
 
-        for whole in it:
-            for b in slices(whole):
-                texts = [t or "" for t in b.column("text").to_pylist()]
-                for k, e in zip(b.column("doc_id").to_pylist(), enc.encode(texts), strict=True):
-                    ids.append(e + end)
-                    docs.append(k)
-                    lengths.append(len(e) // 4 + 1)
-                    held += lengths[-1]
-                    if held >= shard_tokens:
-                        yield close()
+        for b in gathered(it):
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            for k, e in zip(b.column("doc_id").to_pylist(), enc.encode(texts), strict=True):
+                ids.append(e + end)
+                docs.append(k)
+                lengths.append(len(e) // 4 + 1)
+                held += lengths[-1]
+                if held >= shard_tokens:
+                    yield close()
         if docs:
             yield close()
         enc.shrink()

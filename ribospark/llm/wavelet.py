@@ -14,6 +14,8 @@ from __future__ import annotations
 import struct
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MAGIC = b"WMX1"
 BLOCK = 512
@@ -49,10 +51,11 @@ def build(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int]) -> byt
         per = np.bitwise_count(packed.view("<u8")).reshape(blocks, BLOCK // 64).sum(1, dtype=np.uint32)
         ranks = np.zeros(blocks, "<u4")
         np.cumsum(per[:-1], out=ranks[1:]) if blocks else None
-        sel = ones.view(bool)
-        zeros = v[~sel]
+        mask = pa.Array.from_buffers(pa.bool_(), n, [None, pa.py_buffer(packed)])
+        values = pa.Array.from_buffers(pa.from_numpy_dtype(v.dtype), n, [None, pa.py_buffer(v)])
+        zeros = values.filter(pc.invert(mask)).to_numpy()
         out += [struct.pack("<Q", len(zeros)), packed.tobytes(), ranks.tobytes()]
-        v = np.concatenate((zeros, v[sel]))
+        v = np.concatenate((zeros, values.filter(mask).to_numpy()))
     return b"".join(out)
 
 
@@ -152,8 +155,11 @@ class WaveletMatrix:
         for level in reversed(range(self.levels)):
             ones = np.unpackbits(self.bits[level], count=self.n, bitorder="little").view(bool)
             up = np.empty_like(v)
-            up[~ones] = v[: self.zeros[level]]
-            up[ones] = v[self.zeros[level] :] | v.dtype.type(1 << (self.levels - 1 - level))
+            low, high = v[: self.zeros[level]], v[self.zeros[level] :] | v.dtype.type(1 << (self.levels - 1 - level))
+            if len(low):
+                np.place(up, ~ones, low)
+            if len(high):
+                np.place(up, ones, high)
             v = up
         return self.symbols[v] if self.n else self.symbols[:0]
 
