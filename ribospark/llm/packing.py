@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, table, tidied
-from .tokens import encoder, slices, tokenizer_path
+from .tokens import encoder, gathered, tokenizer_path
 
 CAPACITY = 1024
 PIECES = "bucket int, rank long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -120,15 +120,14 @@ def _pieces(path: str, spaces: str, end_id: int, capacity: int):
     def run(it):
         bucket, ranks = TaskContext.get().partitionId(), [0] * (capacity + 1)
         enc, end = encoder(path, spaces), np.array([end_id], "<u4").tobytes()
-        for whole in it:
-            for b in slices(whole):
-                rows, texts = [], [t or "" for t in b.column("text").to_pylist()]
-                for k, e in zip(b.column("doc_id").to_pylist(), enc.encode(texts), strict=True):
-                    ids = e + end
-                    for p, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
-                        rows.append((bucket, ranks[n], k, p, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])))
-                        ranks[n] += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+        for b in gathered(it):
+            rows, texts = [], [t or "" for t in b.column("text").to_pylist()]
+            for k, e in zip(b.column("doc_id").to_pylist(), enc.encode(texts), strict=True):
+                ids = e + end
+                for p, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
+                    rows.append((bucket, ranks[n], k, p, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])))
+                    ranks[n] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
         enc.shrink()
 
     return tidied(run)
