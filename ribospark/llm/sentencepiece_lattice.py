@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
 1. A text's blanks become the piece set's word mark, one more mark stands in front, and the text is cut into
-   words: runs of marks with what follows them. No piece goes on past such a cut (checked when the piece
-   table is read), so words are independent and each distinct one is encoded once.
+   words wherever two characters meet that no piece holds side by side: before runs of marks (checked when the
+   piece table is read), and mostly between letters and signs. No piece goes on past such a cut, so words are
+   independent and each distinct one is encoded once.
 2. Tasks number the words of blocks of documents and send every block's distinct words, packed, to hash
    ranges; no occurrence is shuffled, and the commonest word travels once per block.
 3. Each range's distinct words are exploded into their substrings of bounded length and equi-joined to the
@@ -24,7 +25,6 @@ as long as its text (a text without blanks), the cost grows with its length time
 from __future__ import annotations
 
 import heapq
-import re
 import uuid
 import zlib
 
@@ -40,14 +40,13 @@ from .tokens import slices, tokenizer_path
 MARK = "▁"
 #: Rows of a piece table that may be broadcast.
 MAX_PIECES = 2_000_000
-#: Characters of text whose words are numbered together.
-BLOCK_CHARS = 32_000_000
+#: Bytes of text whose words are numbered together.
+BLOCK_BYTES = 32_000_000
 BLOCK_ROWS = 60_000
 #: Words of a dictionary that are packed together.
 PACK_WORDS = 50_000
 #: Characters of a word from which one row's substrings start.
 STRIDE = 256
-_RUNS = re.compile(f"{MARK}+[^{MARK}]*")
 
 
 def _varint(raw: bytes, at: int) -> tuple[int, int]:
@@ -97,32 +96,70 @@ def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, int, int]:
     return spark.createDataFrame(rows, "piece string, id int, score double"), max(len(p) for p, _, _ in rows), sp.piece_to_id("<0x00>")
 
 
-def split_words(text: str) -> list[str]:
-    """Words of a text, each without its first mark."""
-    if not text:
-        return []
-    marked = MARK + text.replace(" ", MARK)
-    if MARK + MARK in marked:
-        return [w[1:] for w in _RUNS.findall(marked)]
-    return marked.split(MARK)[1:]
-
-
-class _Numbers(dict):
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        return n
-
-
-def _send_blocks(ranges: int):
+def piece_pairs(pieces: DataFrame) -> list[str]:
+    """The pairs of characters that stand side by side in a piece."""
+    return sorted({r.piece[i : i + 2] for r in pieces.select("piece").collect() for i in range(len(r.piece) - 1)})
+
+
+class Cutter:
+    """Cuts marked texts between characters that no piece holds side by side."""
+
+    def __init__(self, pairs: list[str]):
+        letters = sorted({c for p in pairs for c in p})
+        self.size = len(letters) + 1  # class 0: in no pair
+        self.kind = np.zeros(0x110000, np.int32)
+        self.kind[[ord(c) for c in letters]] = np.arange(1, self.size)
+        self.joins = np.zeros(self.size * self.size, bool)
+        self.joins[[int(self.kind[ord(a)]) * self.size + int(self.kind[ord(b)]) for a, b in pairs]] = True
+
+    def words(self, texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
+        """The words of the texts, one after another, and how many each text has."""
+        marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
+        ends = np.concatenate(([0], np.cumsum(np.fromiter(map(len, marked), np.int64, len(marked)))))
+        whole = "".join(marked)
+        x = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), "<u4")
+        kind, cut = self.kind[x], np.ones(len(x) + 1, bool)
+        np.logical_not(self.joins[kind[:-1] * self.size + kind[1:]], out=cut[1:-1]) if len(x) else None
+        cut[ends] = True
+        at = np.flatnonzero(cut)
+        width = (x >= 0x80).view(np.uint8) + (x >= 0x800) + (x >= 0x10000) + 1
+        byte = np.concatenate(([0], np.cumsum(width, dtype=np.int64)))[at]
+        data = pa.py_buffer(whole.encode("utf-8", "surrogatepass"))
+        words = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(byte), data])
+        return words, np.diff(np.searchsorted(at, ends))
+
+
+def number(codes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, order): words renumbered by how often they come, the commonest first, in order; one that comes once has code 0."""
+    times = np.bincount(codes, minlength=words)
+    order = np.argsort(-times, kind="stable")  # words that come once stay as they first came
+    rank = np.empty(words, np.uint32)
+    rank[order] = np.where(times[order] > 1, np.arange(1, words + 1), 0)
+    return rank[codes], order
+
+
+def numbers(codes: np.ndarray, words: int) -> np.ndarray:
+    """Places in order of the words that number() gave those codes."""
+    once = codes == 0
+    n = int(np.count_nonzero(once))
+    out = codes.astype(np.int64) - 1
+    out[once] = np.arange(words - n, words)
+    return out
+
+
+def _send_blocks(ranges: int, pairs: list[str]):
     """Per block of documents: their words as numbers (rng -1), and the distinct words of each hash range."""
     import xxhash
 
-    def blobs(ids, counts, codes, numbers):
+    def blobs(ids, counts, parts):
         block = int.from_bytes(uuid.uuid4().bytes[:8], "big", signed=True)
-        words = [w.encode("utf-8", "surrogatepass") for w in numbers]
+        parts = pa.chunked_array(parts).unify_dictionaries()
+        known = parts.chunk(0).dictionary
+        codes, order = number(np.concatenate([c.indices.to_numpy() for c in parts.chunks]), len(known))
+        words = known.take(pa.array(order)).to_pylist()
         rng = np.fromiter((xxhash.xxh3_64_intdigest(w) % ranges for w in words), np.uint32, len(words))
         null = np.array([i is None for i in ids], np.uint8)
-        yield -1, block, (np.array([i or 0 for i in ids], np.int64), null, np.array(counts, np.uint32), np.array(codes, np.uint32), rng)
+        yield -1, block, (np.array([i or 0 for i in ids], np.int64), null, np.concatenate(counts).astype(np.uint32), codes, rng)
         order = np.argsort(rng, kind="stable")
         edges = np.searchsorted(rng[order], np.arange(ranges + 1))
         for r in range(ranges):
@@ -136,19 +173,19 @@ def _send_blocks(ranges: int):
             yield pa.RecordBatch.from_arrays(cols, ["rng", "block", "blob"])
 
     def run(it):
-        ids, counts, codes, numbers, held = [], [], [], _Numbers(), 0
+        cutter = Cutter(pairs)
+        ids, counts, parts, held = [], [], [], 0
         for b in (x for whole in it for x in slices(whole)):
-            for k, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                words = split_words(t or "")
-                ids.append(k)
-                counts.append(len(words))
-                codes.extend([numbers[w] for w in words])
-                held += len(t or "")
-                if held >= BLOCK_CHARS or len(ids) >= BLOCK_ROWS:
-                    yield from out(ids, counts, codes, numbers)
-                    ids, counts, codes, numbers, held = [], [], [], _Numbers(), 0
+            words, n = cutter.words(b.column("text").to_pylist())
+            ids.extend(b.column("doc_id").to_pylist())
+            counts.append(n)
+            parts.append(words.dictionary_encode())
+            held += len(words.buffers()[2])
+            if held >= BLOCK_BYTES or len(ids) >= BLOCK_ROWS:
+                yield from out(ids, counts, parts)
+                ids, counts, parts, held = [], [], [], 0
         if ids:
-            yield from out(ids, counts, codes, numbers)
+            yield from out(ids, counts, parts)
 
     return tidied(run)
 
@@ -160,9 +197,8 @@ def _binary(sizes: np.ndarray, flat: np.ndarray) -> pa.Array:
 
 
 def _words_of_range(t: pa.Table) -> pa.Table:
-    """The distinct words of one range, marked."""
-    found = pc.unique(pa.concat_arrays([_binary(*unpack_arrays(b)) for b in t.column("blob").to_pylist()]))
-    words = pc.binary_join_element_wise(pa.scalar(MARK.encode(), pa.large_binary()), found, pa.scalar(b"", pa.large_binary()))
+    """The distinct words of one range."""
+    words = pc.unique(pa.concat_arrays([_binary(*unpack_arrays(b)) for b in t.column("blob").to_pylist()]))
     return pa.Table.from_arrays([pa.array([t.column("rng")[0].as_py()] * len(words), pa.int32()), words.cast(pa.large_string()).cast(pa.string())], ["rng", "word"])
 
 
@@ -278,8 +314,8 @@ def _pack_rows(it):
             yield _packed(b.column("rng").to_numpy(), b.column("word").to_pylist(), b.column("ids").to_pylist())
 
 
-def _merged(longest: int, byte0: int, singles: dict[str, int]):
-    """Fold a byte-pair lattice's rows (without singles), word after word, to packed words without their mark and ids."""
+def _merged(longest: int, byte0: int, singles: dict[str, int], skip: int):
+    """Fold a byte-pair lattice's rows (without singles), word after word, to packed words without their first skip characters and ids."""
     width = longest + 1
 
     def fold(word, keys, scores, ids):
@@ -314,7 +350,7 @@ def _merged(longest: int, byte0: int, singles: dict[str, int]):
         scores = pc.fill_null(t.column("score"), 0.0).to_numpy().tolist()
         words = t.column("head").drop_null().to_pylist()
         found = [fold(w, keys[x:y], scores[x:y], ids[x:y]) for w, x, y in zip(words, edges, edges[1:])]
-        return [t.column("rng").to_numpy()[heads], [w[1:].encode("utf-8", "surrogatepass") for w in words], found]
+        return [t.column("rng").to_numpy()[heads], [w[skip:].encode("utf-8", "surrogatepass") for w in words], found]
 
     def packed(it):
         rng, words, ids = [], [], []
@@ -331,12 +367,15 @@ def _merged(longest: int, byte0: int, singles: dict[str, int]):
     return tidied(packed)
 
 
-def dictionary(words: DataFrame, pieces: DataFrame, longest: int, byte0: int, byte_pair: bool) -> DataFrame:
-    """(rng, blob) of distinct words (rng, wid, word): packed words without their mark and ids, for unpack_words."""
+def dictionary(words: DataFrame, pieces: DataFrame, longest: int, byte0: int, byte_pair: bool, skip: int = 1) -> DataFrame:
+    """(rng, blob) of distinct words (rng, wid, word): packed words and ids, for unpack_words.
+
+    The packed words go without their first skip characters: one where all of them begin with a mark.
+    """
     if byte_pair:
         singles = {r.piece: r.id for r in pieces.where(F.length("piece") == 1).collect()}  # of the model's pieces
         edges = lattice(words.select("rng", "word"), pieces, longest, singles=False)
-        return edges.mapInArrow(_merged(longest, byte0, singles), "rng int, blob binary")
+        return edges.mapInArrow(_merged(longest, byte0, singles, skip), "rng int, blob binary")
     edges = lattice(words, pieces, longest)
     marked = words.join(viterbi(edges, longest), "wid")
     at = F.explode(F.transform("path", lambda p, k: F.struct(k.alias("k"), F.substring(F.col("word"), p["a"] + 1, p["l"]).alias("piece"))))
@@ -346,7 +385,7 @@ def dictionary(words: DataFrame, pieces: DataFrame, longest: int, byte0: int, by
     as_bytes = F.array_join(F.transform(F.sequence(F.lit(0), (F.length(raw) / 2 - 1).cast("int")), lambda i: hex4(F.conv(F.substring(raw, 2 * i + 1, F.lit(2)), 16, 10).cast("int") + byte0)), "")
     each = each.withColumn("h", F.when(F.col("id").isNotNull(), hex4(F.col("id"))).otherwise(as_bytes))
     whole = each.groupBy("rng", "wid", "word").agg(F.array_sort(F.collect_list(F.struct("k", "h"))).alias("hs"))
-    whole = whole.select("rng", F.encode(F.substr("word", F.lit(2)), "utf-8").alias("word"), F.unhex(F.array_join(F.transform("hs", lambda x: x["h"]), "")).alias("ids"))
+    whole = whole.select("rng", F.encode(F.substr("word", F.lit(skip + 1)), "utf-8").alias("word"), F.unhex(F.array_join(F.transform("hs", lambda x: x["h"]), "")).alias("ids"))
     return whole.mapInArrow(_pack_rows, "rng int, blob binary")
 
 
@@ -377,7 +416,7 @@ def _assemble(sent: pa.Table, replies: pa.Table) -> pa.Table:
     flat = np.concatenate([f for _, f in found] or [np.empty(0, np.uint32)])
     place = np.empty(len(rng), np.int64)
     place[np.argsort(rng, kind="stable")] = np.arange(len(rng))
-    starts, code = np.cumsum(sizes) - sizes, place[codes]
+    starts, code = np.cumsum(sizes) - sizes, place[numbers(codes, len(rng))]
     n = sizes[code]
     at = np.concatenate(([0], np.cumsum(n)))
     where = np.repeat(starts[code] - at[:-1], n)
@@ -393,11 +432,11 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     pieces, longest, byte0 = piece_table(spark, model)
     ranges = partitions(spark)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sent, _ = materialize(plain.mapInArrow(_send_blocks(ranges), "rng int, block long, blob binary"), "blocks")
+    sent, _ = materialize(plain.mapInArrow(_send_blocks(ranges, piece_pairs(pieces)), "rng int, block long, blob binary"), "blocks")
     asks = sent.where("rng >= 0")
     words = asks.groupBy("rng").applyInArrow(_words_of_range, "rng int, word string")
     words, words_path = materialize(words.withColumn("wid", F.monotonically_increasing_id()), "words")
-    known, _ = materialize(dictionary(words, pieces, longest, byte0, is_byte_pair(model)), "dictionary")
+    known, _ = materialize(dictionary(words, pieces, longest, byte0, is_byte_pair(model), skip=0), "dictionary")
     remove(spark, words_path)
     replies = asks.groupBy("rng").cogroup(known.groupBy("rng")).applyInArrow(_answer, "rng int, block long, blob binary")
     blocks = sent.where("rng < 0").select("block", "blob")
